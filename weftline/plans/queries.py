@@ -280,11 +280,14 @@ def repair_fixpoint(spark: SparkSession, d: str) -> DataFrame:
 
 
 def residue_chain_rollup(spark: SparkSession, d: str) -> DataFrame:
-    """Line items as atoms: orders as chains, line numbers as residues, each line one atom."""
+    """Line items as atoms: orders as chains, line numbers as residues, each line one atom; -1 where no CA atom is known."""
     atom = F.element_at(F.array(F.lit("N"), F.lit("CA"), F.lit("C"), F.lit("O")), (F.pmod("l_partkey", F.lit(4)) + 1).cast("int"))
     atoms = _read(spark, d, "lineitem").select(F.col("l_orderkey").alias("chain"), F.col("l_linenumber").cast("string").alias("label_seq"), F.lit("?").alias("auth_seq"), F.lit("?").alias("ins"), atom.alias("atom"), F.when(F.col("l_returnflag") == "R", "A").otherwise(".").alias("alt"), F.col("l_quantity").alias("occupancy"), F.col("l_tax").alias("b_factor"))
     c = annotate.chains(annotate.residues(atoms, ["chain"]), ["chain"]).withColumn("seven", F.lit(7))
-    return c.select("chain", "observed_ca_residues", "complete_backbone_residues", F.col("internal_missing_residues").cast("long").alias("internal_missing_residues"), annotate.terminal_missing(deposited="seven").cast("long").alias("terminal_missing_residues"), "min_ca_occupancy", "alternate_location_residues")
+    unknown = lambda c, kind: F.coalesce(c.cast(kind), F.lit(-1).cast(kind))
+    return c.select(
+        "chain", "observed_ca_residues", "complete_backbone_residues", unknown(F.col("internal_missing_residues"), "long").alias("internal_missing_residues"),
+        unknown(annotate.terminal_missing(deposited="seven"), "long").alias("terminal_missing_residues"), unknown(F.col("min_ca_occupancy"), "double").alias("min_ca_occupancy"), "alternate_location_residues")
 
 
 def download_reconcile(spark: SparkSession, d: str) -> DataFrame:

@@ -21,7 +21,7 @@ def or_empty(spark: SparkSession, path: str, schema: str, read) -> DataFrame:
 
 def read_tsv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Tab-separated with a header; quotes are doubled inside quotes; an empty field is null. All strings without a schema."""
-    r = spark.read.option("sep", "\t").option("header", "true").option("escape", '"').option("multiLine", "true")
+    r = spark.read.option("sep", "\t").option("header", "true").option("escape", '"').option("multiLine", "true").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
     return (r.schema(schema) if schema else r).csv(path)
 
 

@@ -12,7 +12,7 @@ from ..operators.audit import number_rows
 
 def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Tab-separated with a header; quotes doubled; null as an empty field."""
-    df.write.mode(mode).option("sep", "\t").option("header", "true").option("escape", '"').option("quoteAll", "false").option("emptyValue", "").csv(path)
+    df.write.mode(mode).option("sep", "\t").option("header", "true").option("escape", '"').option("quoteAll", "false").option("emptyValue", "").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
 
 
 def write_fasta(df: DataFrame, path: str, id_: str, sequence: str | Column, mode: str = "overwrite") -> None:

@@ -109,4 +109,47 @@ def p8_documents(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p2_found, p2_split, p4_found, p4_report, p5_found, p5_groups, p6_found, p6_containers, p7_found, p7_shares, p7_mix, p8_found, p8_segments, p8_documents)}
 
-SQL: dict[str, str] = {}
+
+def _id(c: str) -> str:
+    return f"upper(substr({c}, 1, 4)) || substr({c}, 5)"
+
+
+def _best(c: str, usable: str) -> str:
+    return f"max(row(loaded_at, {c})) filter (where {usable})"
+
+
+_SEQ = lambda c: f"nullif(regexp_replace(upper({c}), '[^A-Z]', '', 'g'), '')"
+_KNOWN = f"""r as (select {_id('id')} as id, {_SEQ('aa')} as aa, resolution, quality_score, loaded_at from records where id is not null),
+a as (select {_id('id')} as id, internal_missing_residues as i, backbone_complete_fraction as f, loaded_at from record_annotations where id is not null),
+k as (select id, {_best('aa', 'aa is not null')} as aa, {_best('resolution', 'resolution > 0 and not isnan(resolution)')} as r, {_best('quality_score', 'quality_score > 0 and not isnan(quality_score)')} as q from r group by id),
+m as (select id, {_best('i', 'i >= 0')} as i, {_best('f', 'f between 0 and 1 and not isnan(f)')} as f from a group by id),
+j as (select k.id, k.aa[2] as aa, k.r[2] as r, k.q[2] as q, m.i[2] as i, m.f[2] as f from k left join m using (id)),
+w as (select *, row_number() over (partition by aa order by i asc nulls last, f desc nulls last, r asc nulls last, q desc nulls last, id) as rn, min(id) over (partition by aa) as g, count(*) over (partition by aa) as n from j where aa is not null)"""
+_LABEL = "case when lower(trim(split)) in ('train', 'training') then 'train' when lower(trim(split)) in ('valid', 'validation', 'val') then 'valid' when lower(trim(split)) in ('test', 'testing') then 'test' end"
+_GROUP = _id("nullif(trim(merged_group), '')")
+_KEYS = f"keys as (select {_id('id')} as id, upper(substr(id, 1, 4)) as e, {_GROUP} as g, {_LABEL} as s from cluster_membership where id is not null)"
+_PAIRS = f"""x as (select distinct 'train' as split, {_id('id')} as id, {_SEQ('sequence_aa')} as seq from train union select 'validation', {_id('id')}, {_SEQ('sequence_aa')} from validation union select 'test', {_id('id')}, {_SEQ('sequence_aa')} from test),
+v as (select * from x where id is not null and seq is not null),
+pairs as (select e.split as eval_split, e.id as e, t.id as t, levenshtein(e.seq, t.seq) as edits from v e join v t on e.split <> 'train' and t.split = 'train' and abs(length(e.seq) - length(t.seq)) <= greatest(length(e.seq), length(t.seq)) // 10
+  where levenshtein(e.seq, t.seq) <= greatest(length(e.seq), length(t.seq)) // 10)"""
+_GROUPS = f"""ids as (select distinct {_id('id')} as id from records where id is not null),
+h as (select distinct {_id('query_id')} as a, {_id('target_id')} as b from sequence_hits where fident >= 0.3 and not isnan(fident) and qcov >= 0.8 and not isnan(qcov) and tcov >= 0.8 and not isnan(tcov)),
+e as (select a, b from h where a <> b and a in (select id from ids) and b in (select id from ids)), s as (select a, b from e union select b, a from e),
+reach(id, label) as (select distinct a, a from s union select s.b, r.label from reach r join s on r.id = s.a where r.label < s.b), groups as (select id, min(label) as group_id from reach group by id)"""
+SQL: dict[str, str] = {
+    "p1_found": f"with {_KNOWN} select g as group_id, id as survivor_id from w where rn = 1 and n > 1",
+    "p2_found": f"with {_KEYS} select 'pdb_id' as key_field, e as key_value from keys where s is not null group by e having count(distinct s) > 1 union all select 'merged_group', g from keys where s is not null and g is not null group by g having count(distinct s) > 1",
+    "p2_split": f"""with recursive {_KEYS}, ids as (select distinct {_id('id')} as id, upper(substr(id, 1, 4)) as e from records where id is not null),
+ed as (select distinct 'e' || e as a, 'g' || g as b from keys where g is not null), s as (select a, b from ed union select b, a from ed), v as (select 'e' || e as v from ids union select a from s),
+reach(v, l) as (select v, v from v union select s.b, r.l from reach r join s on r.v = s.a where r.l < s.b), comp as (select v, min(l) as c from reach group by v),
+p as (select id, c from ids join comp on v = 'e' || e), z as (select c, min(id) as component_id, count(*) as n from p group by c), t as (select count(*) as all_n from p),
+y as (select *, n > 0.05 * all_n as large from z, t), l as (select coalesce(sum(n) filter (where large), 0) as large_n from y), cut as (select all_n - large_n as rest, greatest(0.8 * all_n - large_n, 0.0) as cut from t, l),
+o as (select c, component_id, n, sum(n) over (order by md5('42:' || component_id), component_id rows between unbounded preceding and current row) - n / 2 as middle from y where not large),
+d as (select c, component_id, case when middle < cut then 'train' when middle < cut + (rest - cut) * 0.5 then 'valid' else 'test' end as split from o, cut union all select c, component_id, 'train' from y where large)
+select id, component_id, split from p join d using (c)""",
+    "p4_found": f"with {_PAIRS} select distinct least(e, t) as id_a, greatest(e, t) as id_b, eval_split from pairs",
+    "p4_report": f"""with {_PAIRS}, hit as (select eval_split as split, e as id, min(edits) as edits from pairs group by 1, 2), u as (select distinct split, id from v where split <> 'train')
+select split as eval_split, substr(id, 1, 4) as source, count(*) as n_ids, count(*) filter (where edits = 0) as n_exact, count(*) filter (where edits > 0) as n_near from u left join hit using (split, id) group by 1, 2""",
+    "p5_found": f"with recursive {_GROUPS} select group_id, id from groups",
+    "p5_groups": f"with recursive {_GROUPS} select ids.id, coalesce(group_id, ids.id) as group_id from ids left join groups using (id)",
+}

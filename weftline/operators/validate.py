@@ -30,9 +30,9 @@ def require(problems: DataFrame, what: str, shown: int = 5) -> None:
 
 
 def required_join(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
-    """Inner join that fails where a left key has no right row."""
+    """Inner join that fails where a left key has no right row. Of columns both sides have, the right one stays."""
     require(missing_keys(left, right, key), f"no match for {key}")
-    return left.join(right, key)
+    return left.drop(*(set(left.columns) & set(right.columns) - {key})).join(right, key)
 
 
 def reconcile(expected: DataFrame, delivered: DataFrame, key: str = "id", ok: str | None = None) -> DataFrame:

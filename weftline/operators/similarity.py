@@ -10,10 +10,11 @@ from ..session import Scratch, count_rows
 
 
 def _grams(df: DataFrame, k: int) -> DataFrame:
-    """(id, seq, terms): the different letter grams of each sequence of at least k letters."""
+    """(key, id, seq, len, n, terms): the n different letter grams of each sequence of at least k letters; key numbers the rows."""
     rows = df.filter((F.length("seq") >= k) & F.col("id").isNotNull()).select("id", "seq").distinct()
     at = F.sequence(F.lit(1), F.length("seq") - k + 1)
-    return rows.withColumn("terms", F.array_distinct(F.transform(at, lambda i: F.substr(F.col("seq"), i, F.lit(k)))))
+    terms = F.array_distinct(F.transform(at, lambda i: F.xxhash64(F.substr(F.col("seq"), i, F.lit(k)))))
+    return rows.withColumn("terms", terms).select(F.monotonically_increasing_id().alias("key"), "id", "seq", F.length("seq").alias("len"), F.size("terms").alias("n"), "terms")
 
 
 def similar_sequences(queries: DataFrame, targets: DataFrame, k: int = 6, shared: float = 0.1, fident: float = 0.30, cov: float = 0.80) -> DataFrame:
@@ -23,26 +24,27 @@ def similar_sequences(queries: DataFrame, targets: DataFrame, k: int = 6, shared
     different grams, and an edit alignment reaches the thresholds: fident = 1 - edits / longer length, and each
     coverage = shorter length / own length. Candidates come from an inverted index that holds only the n - ceil(shared * n) + 1
     rarest grams of each sequence: two sequences that share enough meet in one of these, so none is lost, and
-    grams most sequences have are left out of the lists. Sequences under k letters have no pair. Copies (one id, one text) count once.
+    grams most sequences have are left out of the lists. Grams are compared by a 64-bit hash; the alignment decides. Sequences under k letters have no pair. Copies (one id, one text) count once.
     """
     scratch = Scratch(queries.sparkSession, "similar")
     q, t = scratch.write(_grams(queries, k)), scratch.write(_grams(targets, k))
-    terms = lambda d: d.select("id", "seq", F.size("terms").alias("n"), F.explode("terms").alias("term"))
+    terms = lambda d: d.select("key", "len", "n", F.explode("terms").alias("term"))
     df = terms(q).select("term").unionByName(terms(t).select("term")).groupBy("term").agg(count_rows().alias("df"))
     least = F.ceil(F.lit(shared) * F.col("n"))
 
     def rare(d: DataFrame) -> DataFrame:
-        w = Window.partitionBy("id", "seq").orderBy("df", "term")
+        w = Window.partitionBy("key").orderBy("df", "term")
         return terms(d).join(df, "term").withColumn("r", F.row_number().over(w)).filter(F.col("r") <= F.col("n") - least + 1)
 
-    a = rare(q).select("term", F.col("id").alias("query_id"), F.col("seq").alias("qs"), F.col("n").alias("qn"))
-    b = rare(t).select("term", F.col("id").alias("target_id"), F.col("seq").alias("ts"), F.col("n").alias("tn"))
-    lens = (F.length("qs") >= F.lit(cov) * F.length("ts")) & (F.length("ts") >= F.lit(cov) * F.length("qs"))
-    cand = a.join(b, "term").filter(lens & (F.col("query_id") != F.col("target_id"))).select("query_id", "qs", "target_id", "ts").distinct()
-    j = cand.join(q.select(F.col("id").alias("query_id"), F.col("seq").alias("qs"), F.col("terms").alias("qt")), ["query_id", "qs"]).join(t.select(F.col("id").alias("target_id"), F.col("seq").alias("ts"), F.col("terms").alias("tt")), ["target_id", "ts"])
+    a = rare(q).select("term", F.col("key").alias("qk"), F.col("len").alias("ql"))
+    b = rare(t).select("term", F.col("key").alias("tk"), F.col("len").alias("tl"))
+    lens = (F.col("ql") >= F.lit(cov) * F.col("tl")) & (F.col("tl") >= F.lit(cov) * F.col("ql"))
+    cand = a.join(b, "term").filter(lens).select("qk", "tk").distinct()
+    side = lambda d, x: d.select(F.col("key").alias(f"{x}k"), F.col("id").alias(f"{x}i"), F.col("seq").alias(f"{x}s"), F.col("terms").alias(f"{x}t"))
+    j = cand.join(side(q, "q"), "qk").join(side(t, "t"), "tk").filter("qi != ti")
     j = j.filter(F.size(F.array_intersect("qt", "tt")) >= F.ceil(F.lit(shared) * F.greatest(F.size("qt"), F.size("tt"))))
     longer, shorter = F.greatest(F.length("qs"), F.length("ts")), F.least(F.length("qs"), F.length("ts"))
-    scored = j.select("query_id", "target_id", (1.0 - F.levenshtein("qs", "ts") / longer).alias("fident"), (shorter / F.length("qs")).alias("qcov"), (shorter / F.length("ts")).alias("tcov"))
+    scored = j.select(F.col("qi").alias("query_id"), F.col("ti").alias("target_id"), (1.0 - F.levenshtein("qs", "ts") / longer).alias("fident"), (shorter / F.length("qs")).alias("qcov"), (shorter / F.length("ts")).alias("tcov"))
     return scored.filter((F.col("fident") >= fident) & (F.col("qcov") >= cov) & (F.col("tcov") >= cov)).groupBy("query_id", "target_id").agg(F.max("fident").alias("fident"), F.max("qcov").alias("qcov"), F.max("tcov").alias("tcov"))
 
 

@@ -12,6 +12,7 @@ from ..operators import annotate, audit, edges, quality, rank, similarity, skew,
 from ..operators.components import connected_components
 from ..session import Scratch, count_rows
 from ..sources import readers, writers
+from ..streaming import deliveries
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -39,6 +40,12 @@ def _membership(spark: SparkSession, d: str) -> DataFrame:
     return m.groupBy(canonical_id("id").alias("id")).agg(F.min(canonical_id("merged_group")).alias("merged_group"))
 
 
+def streamed_reason_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Delivered rows by week and exclusion reason, counted by a stream."""
+    counts = deliveries.reason_counts(deliveries.read_deliveries(spark, f"{d}/records.parquet"))
+    return deliveries.run_available(counts, "reasons").select(F.date_format("period_start", "yyyy-MM-dd").alias("period_start"), "reason", "n")
+
+
 def _p3_inputs(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     r = _read(spark, d, "records").select(entry_key("pdb_id", "id").alias("key"), "resolution", "loaded_at")
     m = _read(spark, d, "cluster_membership").select(canonical_id(F.nullif(F.trim("merged_group"), F.lit(""))).alias("key"), F.col("selected_representative").alias("value"), canonical_id("id").alias("id"))
@@ -381,6 +388,6 @@ QUERIES = {f.__name__: f for f in (
     exclusion_reason_counts, filter_totals, kept_records, formatted_metrics, pairing_full_outer, id_components, sequence_complexity, usable_filter, method_rollup, multivalue_mapping, ref_accession_fallback,
     exact_duplicate_groups, dedupe_argmin, group_representative, components_sequence, components_structure, components_overlay, group_sizes_weights, grouped_split, split_membership, split_excluded, split_counts,
     quality_split, chronological_split, novelty_labels, key_translation_edges, hits_audit, cross_split_hits, repair_round, repair_fixpoint, residue_chain_rollup, download_reconcile, shard_assignment,
-    split_validation, row_index_export, path_checksum, set_operations, sorted_limit, vector_neighbours_topk, sequence_similarity_audit, structure_similarity_topk, similarity_clusters, fasta_roundtrip, tsv_roundtrip,
+    split_validation, row_index_export, path_checksum, set_operations, sorted_limit, vector_neighbours_topk, sequence_similarity_audit, structure_similarity_topk, similarity_clusters, fasta_roundtrip, tsv_roundtrip, streamed_reason_counts,
     p3_found, p3_summary,
 )}

@@ -61,7 +61,7 @@ def _rows(extract: Callable[[dict], list[dict]], names: list[str]):
                     rows = [base | r for r in extract(parse(text.decode("utf-8", "replace")))]
                 except Exception as e:  # noqa: BLE001 - one bad file becomes a row, not a failed job
                     rows = [base | {"error_type": type(e).__name__, "message": re.sub(r"[\t\n]", " ", str(e))}]
-                yield pd.DataFrame(rows, columns=["file", "pdb_id", "error_type", "message", *names])
+                yield pd.DataFrame({c: pd.Series([r.get(c) for r in rows], dtype=object) for c in ["file", "pdb_id", "error_type", "message", *names]})
 
     return run
 

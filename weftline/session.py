@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +37,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the session's Python workers, once: tasks import it wherever the driver was started."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_weftline_sent", False):
+        home = Path(__file__).resolve().parent
+        made = shutil.make_archive(f"{tempfile.mkdtemp(prefix='spark-')}/{home.name}", "zip", home.parent, home.name)
+        sc.addPyFile(made)
+        sc._weftline_sent = True
+
+
 class Scratch:
     """Tables written to the shared folder by one run of an iterative operator.
 

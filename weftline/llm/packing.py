@@ -98,7 +98,7 @@ def pack(items: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, cluste
     is cut. Two items of one cluster never share a container, nor do two of a pair of sources in `exclusive` (at most
     63 names in all, compared as given). Cut pieces of one item are not in conflict.
 
-    Items go by hash into shards of about `shard_items`, each packed in one task: largest first into the compatible
+    Items go by hash into shards of about `shard_items`, each packed on its own, a task taking one or more shards in turn: largest first into the compatible
     bin with the smallest residual that takes it. Containers that are less than `well_filled` full are opened once
     more and their items packed again in fewer shards, so what the cuts between shards waste stays small. Memory of a
     task is bounded by its shard; a cluster with a third of all items is spread over all shards.
@@ -107,6 +107,8 @@ def pack(items: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, cluste
     conflict, null sources are source "". Repeated keys are items of their own. No items give no rows.
     """
     scratch = Scratch(items.sparkSession, "packing")
+    spark = items.sparkSession
+    most_parts = 4 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     names = sorted({n for pair in exclusive for n in pair})
     bits = {n: i + 1 for i, n in enumerate(names)}
     barred: dict[int, int] = defaultdict(int)
@@ -124,7 +126,8 @@ def pack(items: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, cluste
     work, seen = scratch.write(cut.withColumn("row", F.monotonically_increasing_id()), n=count_rows())
 
     def packed(rows: DataFrame, shards: int, round_: int) -> DataFrame:
-        spread = rows.withColumn("shard", F.pmod(F.xxhash64(key, "piece", "row", F.lit(round_)), F.lit(shards)).cast("int")).repartition(shards, "shard")
+        parts = min(shards, max(most_parts, 1))
+        spread = rows.withColumn("shard", F.pmod(F.xxhash64(key, "piece", "row", F.lit(round_)), F.lit(shards)).cast("int")).repartitionById(parts, F.pmod("shard", F.lit(parts)))
         ordered = spread.sortWithinPartitions("shard", F.desc("n_tokens"), "cluster", "source_bit", key, "piece")
         return ordered.mapInPandas(_pack(capacity, dict(barred)), f"{ordered.schema.simpleString()[7:-1]}, bin long".replace(":", " ")).withColumn("container", F.concat_ws("-", F.lit(round_), "shard", "bin"))
 

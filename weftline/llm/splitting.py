@@ -13,7 +13,7 @@ from ..session import Scratch, count_rows
 def frontier_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """(id, component) for every vertex of an undirected graph, by breadth-first search from many seeds at once.
 
-    The adjacency lists are kept as rows, hash-partitioned by vertex. Seeds are the vertices whose hash is the
+    The adjacency lists are kept as rows, hash-partitioned by vertex and neighbour, so a hub's list lies in many parts. Seeds are the vertices whose hash is the
     smallest among their neighbours', so every component has one and none is far. In each round the frontier's
     labels go along its lists; a vertex reached first by several labels takes the smallest, and each two labels
     that meet at a vertex become an edge of a small graph over seeds. That graph, solved by stars, merges the
@@ -24,7 +24,7 @@ def frontier_components(edges: DataFrame, src: str = "src", dst: str = "dst") ->
     scratch = Scratch(spark, "frontier")
     a, b = F.col(src), F.col(dst)
     one = edges.filter(a.isNotNull() & b.isNotNull()).select(a.alias("v"), b.alias("w"))
-    adj = scratch.write(one.unionByName(one.select(F.col("w").alias("v"), F.col("v").alias("w"))).distinct().repartition("v"))
+    adj = scratch.write(one.unionByName(one.select(F.col("w").alias("v"), F.col("v").alias("w"))).distinct())
     order = lambda c: F.struct(F.xxhash64(c), F.col(c))
     seeds = adj.withColumn("mine", order("v")).withColumn("its", order("w")).groupBy("v").agg(F.min("mine").alias("mine"), F.min("its").alias("its")).filter("mine <= its").select("v", F.col("v").alias("label"))
     labels, seen = scratch.write(seeds, n=count_rows())

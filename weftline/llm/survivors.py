@@ -29,10 +29,12 @@ def _undominated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g, *x in zip(pdf["grp"].tolist(), *dims):
             if g != group:
                 group, window = g, []
-            ok = not any(all(a <= b for a, b in zip(w, x)) for w in window)
-            keep.append(ok)
-            if ok:
+            by = next((i for i, w in enumerate(window) if all(a <= b for a, b in zip(w, x))), None)
+            keep.append(by is None)
+            if by is None:
                 window.append(x)
+            elif by:  # what dominates much moves ahead, so that most rows are compared with few
+                window[0], window[by] = window[by], window[0]
         yield pdf[keep]
 
 

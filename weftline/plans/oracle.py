@@ -127,6 +127,11 @@ from chrono c join comp using (id) join fold using (id) where c.split <> 'train'
     "cross_split_hits": f"with {_DELIVERED}, {_HIT}, {_CROSS.format(s='del')} select kind, query, target from crossed",
     "repair_round": f"""with {_REC}, {_MEM}, {_DELIVERED}, {_HIT}, members as (select id, merged_group from rec join mem using (id)), start as (select id, split from del where id in (select id from members)), {_CROSS.format(s='start')},
 blocked as (select distinct merged_group from crossed join members on members.id = target) select id, split from start join members using (id) where split = 'valid' or merged_group not in (select merged_group from blocked)""",
+    "repair_fixpoint": f"""with {_REC}, {_MEM}, {_DELIVERED}, {_HIT}, members as (select id, merged_group from rec join mem using (id)), start as (select id, split from del where id in (select id from members)), {_CROSS.format(s='start')},
+blocked as (select distinct merged_group from crossed join members on members.id = target), fin as (select id, split, merged_group from start join members using (id) where split = 'valid' or merged_group not in (select merged_group from blocked)),
+per as (select merged_group, bool_or(split <> 'train') as ev, bool_or(split = 'train') as tr from fin group by 1), was as (select distinct merged_group from start join members using (id) where split <> 'train'), e as (select id, split from fin where split <> 'train')
+select m.id, m.merged_group, case when ev then coalesce(e.split, 'heldout_excluded') when m.merged_group in (select merged_group from blocked) then 'sequence_audit_removed' when tr then 'train' when m.merged_group in (select merged_group from was) then 'heldout_excluded' else 'train_excluded' end as split,
+  coalesce((ev and e.split is not null)::int, 0) as selected_representative from members m left join per using (merged_group) left join e on e.id = m.id""",
     "residue_chain_rollup": """with atoms as (select l_orderkey as chain, l_linenumber as pos, (['N', 'CA', 'C', 'O'])[(l_partkey % 4)::int + 1] as atom, l_returnflag = 'R' as alt, l_quantity as occ from lineitem),
 res as (select chain, pos, bool_or(atom = 'CA') as ca, count(distinct atom) = 4 as bb, bool_or(alt) as alt, max(occ) filter (where atom = 'CA') as occ from atoms group by 1, 2)
 select chain, count(*) filter (where ca) as observed_ca_residues, count(*) filter (where bb) as complete_backbone_residues, coalesce(max(pos) filter (where ca) - min(pos) filter (where ca) + 1 - count(distinct pos) filter (where ca), -1)::bigint as internal_missing_residues,

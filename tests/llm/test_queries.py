@@ -1,0 +1,21 @@
+import os
+
+import pytest
+from compare import FOLDER, both
+
+from weftline.llm import queries
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables here")
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query_equals_sql(spark, name):
+    got, want = both(spark, queries.QUERIES[name], queries.SQL[name])
+    assert got == want
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables here")
+def test_containers_hold_every_token_once(spark):
+    rows = queries.p6_containers(spark, FOLDER).toPandas()
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id").toPandas()
+    assert set(rows["doc_id"]) == set(docs["doc_id"]) and rows.groupby("container")["n_tokens"].sum().max() <= 8192
+    assert (rows.groupby("doc_id")["piece"].count() == rows.groupby("doc_id")["n_pieces"].first()).all()

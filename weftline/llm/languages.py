@@ -30,7 +30,8 @@ NAMES = {
 }
 PIECES = "piece_bpe_32k.model"
 START = "▁"
-_LONGEST, _KEPT = 32, 300_000
+#: Letters scored as one word, word scores kept, words summed at once: bounds on memory.
+_LONGEST, _KEPT, _AT_ONCE = 32, 150_000, 200_000
 _END, _CLOSE = (".", "!", "?", "…"), "\"')]}»”’“"
 
 
@@ -130,25 +131,33 @@ class Scorer:
         first = next((c for c in chunk if c.isalnum()), "")
         ends = bare.endswith(_END) and not (len(w) == 1 and bare.endswith("."))
         self.rows.append((*(self.lattice.score(w) if w else np.zeros(self.n)), float(bool(w)), float(ends), float(first.isupper() or first.isdigit())))
-        self.seen[chunk] = i = len(self.rows) - 1
-        return i
+        if len(chunk) < 64:
+            self.seen[chunk] = len(self.rows) - 1
+        return len(self.rows) - 1
 
     def sentences(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """For each sentence of all texts: text number, flow number, scores, words, whether it is whole."""
         if len(self.seen) > _KEPT:
             self.clear()
-        seen, idx, text_of, flow_of, n_flow = self.seen, [], [], [], 0
+        seen, n_flow, held, out = self.seen, 0, ([], [], []), []
         for t, text in enumerate(texts):
             for flow in prose(text).split(BREAK):
                 chunks = flow.split()
                 if chunks:
-                    idx += [seen[c] if c in seen else self._row(c) for c in chunks]
-                    text_of.append(np.full(len(chunks), t))
-                    flow_of.append(np.full(len(chunks), n_flow))
+                    held[0].extend([seen[c] if c in seen else self._row(c) for c in chunks])
+                    held[1].append(np.full(len(chunks), t))
+                    held[2].append(np.full(len(chunks), n_flow))
                     n_flow += 1
+                if len(held[0]) > _AT_ONCE:
+                    out.append(self._sums(*held))
+                    held = ([], [], [])
+        out.append(self._sums(*held))
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+    def _sums(self, idx: list[int], text_of: list, flow_of: list) -> tuple:
         if not idx:
             z = np.zeros(0, dtype=int)
-            return z, z, np.zeros((0, self.n)), z, z.astype(bool)
+            return z, z, np.zeros((0, self.n)), np.zeros(0), z.astype(bool)
         if len(self.table) < len(self.rows):
             self.table = np.vstack([self.table, np.array(self.rows[len(self.table) :])])
         x, text_of, flow_of = self.table[np.array(idx)], np.concatenate(text_of), np.concatenate(flow_of)
@@ -220,11 +229,16 @@ def fit(documents: DataFrame, reference: DataFrame, key: str = "doc_id", max_doc
     hash of their key (the documented bound of the sample). The first round trusts a document's label; each later
     one gives every sentence the language the last model is sure of, so wrong labels and mixed texts wash out.
     Expected piece counts are summed on Spark; only a table of vocabulary x languages comes back.
+
+    Null and empty texts and labels that name no language of the reference add nothing to the first round. Without
+    documents the reference alone is fitted; without a reference the model knows no language.
     """
     spark = documents.sparkSession
     scratch = Scratch(spark, "languages")
     languages = [r[0] for r in reference.select(named_language("lang").alias("l")).filter("l is not null").distinct().orderBy("l").collect()]
     pieces = vocabulary(folder)
+    if not languages:
+        return Model(spark, [], pieces, np.zeros((len(pieces), 0)))
     n = documents.count()
     pick = F.pmod(F.xxhash64(key, F.lit("fit")), F.lit(1_000_000)) < math.ceil(1_000_000 * min(1.0, max_documents / max(n, 1)))
     sample = documents.filter(pick).select("text", named_language("lang").alias("label")).unionByName(reference.select(F.col("sentence").alias("text"), named_language("lang").alias("label"))).filter("text is not null")
@@ -293,9 +307,13 @@ def segments(documents: DataFrame, model: Model, key: str = "doc_id", label: str
     under equal priors is the confidence. A sentence with fewer than `least_words` words or a posterior under `sure`
     belongs to the stretch it stands in. A stretch ends where a sure sentence of another language follows or the
     flow breaks (headings, captions, bibliographies). n_sentences counts the whole sure sentences of a stretch, confidence is their
-    mean, weighted by words. Texts without prose, empty and null texts have one segment without language.
+    mean, weighted by words. Texts without prose, empty and null texts, and all texts under a model
+    of no language, have one segment without language. Repeated keys are documents of their own.
     """
     shared, languages = model.shared, model.languages
+    if not languages:
+        none = lambda kind: F.lit(None).cast(kind)
+        return documents.select(key, label, F.lit(1).alias("segment"), none("string").alias("language"), none("double").alias("confidence"), F.lit(0).alias("n_sentences"), F.lit(0).alias("n_words"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = _scorer(shared)

@@ -18,7 +18,7 @@ def p1_survivors(spark: SparkSession, d: str) -> DataFrame:
     r = _read(spark, d, "records")
     known = survivors.known_values(r, _read(spark, d, "record_annotations"))
     at = F.col("loaded_at")
-    more = r.filter("id is not null").select(canonical_id("id").alias("id"), "method", "entity_id", "loaded_at").groupBy("id").agg(*(survivors._latest(F.col(c), F.col(c).isNotNull(), at).alias(c) for c in ("method", "entity_id")))
+    more = r.filter("id is not null").select(canonical_id("id").alias("id"), "method", "entity_id", "loaded_at").groupBy("id").agg(*(survivors.latest_value(F.col(c), F.col(c).isNotNull(), at).alias(c) for c in ("method", "entity_id")))
     return survivors.best_representatives(known.join(more, "id", "left"), "digest", "id", fill=("method", "entity_id"))
 
 

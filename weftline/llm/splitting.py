@@ -76,6 +76,8 @@ def split_conflicts(membership: DataFrame) -> DataFrame:
 
     Rows that share a key lie in one component, so a key in two splits lies in a component in two splits: the
     components found by breadth-first search name the candidates, and each key of those is then counted on its own.
+    Rows without id or with a label that names no split count nowhere, missing groups are no key, repeated rows change
+    nothing, and an empty table has no conflicts.
     """
     keys = membership_keys(membership)
     comp = related_components(keys, keys)

@@ -51,7 +51,7 @@ def skyline(vectors: DataFrame, n_dims: int, salts: int = 32) -> DataFrame:
     return mid.repartition("grp").sortWithinPartitions(*order).mapInPandas(_undominated, vectors.schema)
 
 
-def _latest(value: Column, usable: Column, loaded_at: Column) -> Column:
+def latest_value(value: Column, usable: Column, loaded_at: Column) -> Column:
     """The value of the latest usable row: unknown times count as oldest, of equal times the largest value."""
     return F.max(F.when(usable, F.struct(loaded_at.alias("t"), value.alias("x"))))["x"]
 
@@ -66,15 +66,15 @@ def known_values(records: DataFrame, annotations: DataFrame) -> DataFrame:
     positive = lambda c: ~F.isnan(c) & (F.col(c) > 0)
     r = records.filter("id is not null").select(canonical_id("id").alias("id"), F.unhex(F.sha2(aa, 256)).alias("digest"), "resolution", "quality_score", "loaded_at")
     r = r.groupBy("id").agg(
-        _latest(F.col("digest"), F.col("digest").isNotNull(), at).alias("digest"),
-        _latest(F.col("resolution"), positive("resolution"), at).alias("resolution"),
-        _latest(F.col("quality_score"), positive("quality_score"), at).alias("quality_score"),
+        latest_value(F.col("digest"), F.col("digest").isNotNull(), at).alias("digest"),
+        latest_value(F.col("resolution"), positive("resolution"), at).alias("resolution"),
+        latest_value(F.col("quality_score"), positive("quality_score"), at).alias("quality_score"),
     )
     fraction = F.col("backbone_complete_fraction")
     a = annotations.filter("id is not null").select(canonical_id("id").alias("id"), "internal_missing_residues", "backbone_complete_fraction", "loaded_at")
     a = a.groupBy("id").agg(
-        _latest(F.col("internal_missing_residues"), F.col("internal_missing_residues") >= 0, at).alias("internal_missing_residues"),
-        _latest(fraction, ~F.isnan(fraction) & fraction.between(0, 1), at).alias("backbone_complete_fraction"),
+        latest_value(F.col("internal_missing_residues"), F.col("internal_missing_residues") >= 0, at).alias("internal_missing_residues"),
+        latest_value(fraction, ~F.isnan(fraction) & fraction.between(0, 1), at).alias("backbone_complete_fraction"),
     )
     return r.filter("digest is not null").join(a, "id", "left")
 

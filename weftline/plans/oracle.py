@@ -76,12 +76,12 @@ _ENTRY_KEY = "coalesce(nullif(upper(regexp_replace(pdb_id, '\\s+', '', 'g')), ''
 _GROUP_KEY = _id("nullif(trim(merged_group), '')")
 
 
-def _grams(table: str, col: str) -> str:
-    return f"(select distinct {_id('id')} as id, seq, list_distinct(list_transform(range(1, (length(seq) - 4)::bigint), lambda i: substr(seq, i, 6))) as terms from (select id, nullif(regexp_replace(upper({col}), '[^A-Z]+', '', 'g'), '') as seq from {table}) where length(seq) >= 6 and id is not null)"
+def _grams(table: str, col: str, k: int) -> str:
+    return f"(select distinct {_id('id')} as id, seq, list_distinct(list_transform(range(1, (length(seq) - {k - 2})::bigint), lambda i: substr(seq, i, {k}))) as terms from (select id, nullif(regexp_replace(upper({col}), '[^A-Z]+', '', 'g'), '') as seq from {table}) where length(seq) >= {k} and id is not null)"
 
 
-def _similar(queries: str, targets: str, col: str, cov: float) -> str:
-    return f"""q as {_grams(queries, col)}, t as {_grams(targets, col)},
+def _similar(queries: str, targets: str, col: str, cov: float, k: int) -> str:
+    return f"""q as {_grams(queries, col, k)}, t as {_grams(targets, col, k)},
 cand as (select distinct q.id as qi, q.seq as qs, t.id as ti, t.seq as ts, q.terms as qt, t.terms as tt from (select id, seq, terms, unnest(terms) as term from q) q join (select id, seq, terms, unnest(terms) as term from t) t using (term) where q.id <> t.id
   and length(q.seq) >= {cov} * length(t.seq) and length(t.seq) >= {cov} * length(q.seq)),
 sim as (select qi as query_id, ti as target_id, max(1 - levenshtein(qs, ts) / greatest(length(qs), length(ts))) as fident from cand
@@ -150,8 +150,8 @@ union all select 'except_all', count(*) from (select * from r except all select
     "sorted_limit": f"with {_REC} select id, length from rec where length is not null order by length desc, id limit 20",
     "vector_neighbours_topk": """with q as (select vec_id as qi, embedding as qe from embeddings where vec_id % 50 = 0), s as (select qi, vec_id as ti, list_cosine_similarity(qe::double[], embedding::double[]) as c from q join embeddings on qi <> vec_id)
 select qi as query_id, ti as target_id, round(c, 6) as cosine, rn::int as rank from (select *, row_number() over (partition by qi order by round(c, 9) desc, ti) as rn from s) where rn <= 5""",
-    "sequence_similarity_audit": f"with {_similar('validation', 'train', 'sequence_aa', 0.8)} select query_id, target_id, round(fident, 6) as fident from sim",
-    "structure_similarity_topk": f"with {_similar('test', 'train', 'sequence_3di', 0.5)} select query_id, target_id, round(fident, 6) as fident, rn::int as rank from (select *, row_number() over (partition by query_id order by fident desc, target_id) as rn from sim) where rn <= 10",
+    "sequence_similarity_audit": f"with {_similar('validation', 'train', 'sequence_aa', 0.8, 6)} select query_id, target_id, round(fident, 6) as fident from sim",
+    "structure_similarity_topk": f"with {_similar('test', 'train', 'sequence_3di', 0.5, 8)} select query_id, target_id, round(fident, 6) as fident, rn::int as rank from (select *, row_number() over (partition by query_id order by fident desc, target_id) as rn from sim) where rn <= 10",
     "fasta_roundtrip": f"with {_REC} select id, sha256(aa) as sha256 from rec where aa is not null",
     "tsv_roundtrip": "select merged_group, split, count(*) as n from cluster_membership group by 1, 2",
     "streamed_reason_counts": f"""select strftime(date '1970-01-01' + (7 * floor(epoch(loaded_at) / 604800))::int, '%Y-%m-%d') as period_start, coalesce({_REASON}, 'kept') as reason, count(*) as n

@@ -359,7 +359,7 @@ def sequence_similarity_audit(spark: SparkSession, d: str) -> DataFrame:
 
 def structure_similarity_topk(spark: SparkSession, d: str) -> DataFrame:
     """Released test chains against train by structural alphabet, ten best each."""
-    h = similarity.similar_sequences(_texts(spark, d, "test", "sequence_3di"), _texts(spark, d, "train", "sequence_3di"), cov=0.5)
+    h = similarity.similar_sequences(_texts(spark, d, "test", "sequence_3di"), _texts(spark, d, "train", "sequence_3di"), k=8, cov=0.5)
     return similarity.top_hits(h).select("query_id", "target_id", F.round("fident", 6).alias("fident"), F.col("rank").cast("int").alias("rank"))
 
 

@@ -53,7 +53,7 @@ _STRUCTURE_EDGES = _star("fam", "family")
 _RANKED = """base as (select rec.*, comp.component from rec join comp using (id)),
 elig as (select component, id, row_number() over (partition by component order by {order}) as rn from {table} where {cond}),
 pos as (select component, id, row_number() over (order by md5('42:' || component), component) as p from elig where rn = 1),
-held as (select component, id as representative, case when p <= 10 then 'test' else 'valid' end as split from pos where p <= 20),
+held as (select component, id as representative, case when p <= 5 then 'test' else 'valid' end as split from pos where p <= 10),
 tr as (select id, row_number() over (partition by aa order by {order}) as rn from {table} where aa is not null and component not in (select component from held) and {train}),
 sel as (select representative as id, split from held union all select id, 'train' from tr where rn = 1)"""
 _SPLIT = f"with recursive {_REC}, {_components('comp', _ENTRY_EDGES)}, " + _RANKED.format(order=_QUALITY_ORDER, table="base", cond=_FITS, train="true")

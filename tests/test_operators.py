@@ -274,3 +274,30 @@ def test_validation(spark):
     d = spark.createDataFrame([("x", True), ("x", False), ("q", True)], "id string, ok boolean")
     assert tuple(validate.reconcile(a, d, ok="ok").first()) == (2, 2, 1, 1, 1, 1)
     assert validate.same_rows(a, a).count() == 0 and validate.same_rows(a, b).count() == 4
+
+
+def test_similar_sequences_keeps_pairs_that_share_few_grams(spark):
+    rnd = random.Random(11)
+    letters = "ACDEFGHIKLMNPQRSTVWY"
+    texts = ["".join(rnd.choice(letters) for _ in range(n)) for n in (3, 40, 63, 64, 65, 128, 129, 200)]
+    rows = [(f"t{i}", s) for i, s in enumerate(texts)]
+    for i, s in enumerate(texts):
+        for share in (0.0, 0.3, 0.45, 0.6, 0.72, 0.9):  # scattered letters replaced, and some cut off
+            x = "".join(rnd.choice(letters) if rnd.random() < share else c for c in s)
+            rows.append((f"q{i}_{share}", x[: len(x) - len(x) // 12]))
+    rows += [("qnull", None), ("qempty", ""), ("t1", texts[1])]
+    df = spark.createDataFrame(rows, "id string, seq string")
+    q, t = df.filter("id like 'q%'"), df.filter("id like 't%'")
+    ok = sorted({x for x in rows if x[1]})
+    want = {}
+    for a, s in ok:
+        for b, u in ok:
+            big = max(len(s), len(u))
+            if a[0] == "q" and b[0] == "t" and min(len(s), len(u)) / big >= 0.8 and 1 - edit(s, u) / big >= 0.3:
+                want[a, b] = 1 - edit(s, u) / big
+    got = {(r["query_id"], r["target_id"]): r["fident"] for r in similarity.similar_sequences(q, t).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in got)
+    assert {("q0_0.0", "t0"), ("q5_0.45", "t5")} <= got.keys() and min(got.values()) < 0.5
+    assert similarity.similar_sequences(q.limit(0), t).count() == 0
+    small = similarity.aligned_texts(q, t, 0.3, 0.8, block=(2, 3)).distinct().count()
+    assert small == len({(dict(ok)[a], dict(ok)[b]) for a, b in want})

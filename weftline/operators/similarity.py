@@ -74,7 +74,7 @@ def _edits(query, targets, lengths):
     return score
 
 
-def aligned_texts(queries: DataFrame, targets: DataFrame, fident: float, cov: float, block: tuple[int, int] = (512, 8192)) -> DataFrame:
+def aligned_texts(queries: DataFrame, targets: DataFrame, fident: float, cov: float, block: tuple[int, int] = (64, 8192)) -> DataFrame:
     """(qs, ts, fident) of all pairs of texts (seq, letters A-Z) that reach both thresholds, equal texts too; each pair is aligned.
 
     Nothing but the length leaves a pair out: texts whose lengths fit the coverage lie in the same band or the next,
@@ -91,7 +91,8 @@ def aligned_texts(queries: DataFrame, targets: DataFrame, fident: float, cov: fl
     q, t = scratch.write(side(queries)), scratch.write(side(targets))
     q = q.select("seq", F.explode(F.array(*(F.col("band") + i for i in (-1, 0, 1)))).alias("band"))
     parts = lambda d, size, name: d.groupBy("band").agg(F.ceil(count_rows() / size).cast("int").alias(name))
-    grid = F.broadcast(scratch.write(parts(q, block[0], "nq").join(parts(t, block[1], "nt"), "band")))
+    grid, seen = scratch.write(parts(q, block[0], "nq").join(parts(t, block[1], "nt"), "band"), cells=F.coalesce(F.sum(F.col("nq") * F.col("nt")), F.lit(0)))
+    grid, tasks = F.broadcast(grid), max(1, min(seen["cells"], 2000))
     # each text's own part, and a copy for each part of the other side
     dealt = lambda d, own, other, a, b: d.join(grid, "band").select("seq", "band", F.pmod(F.xxhash64("seq"), F.col(own)).cast("int").alias(a), F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(b))
     key = ["band", "qp", "tp"]
@@ -119,6 +120,8 @@ def aligned_texts(queries: DataFrame, targets: DataFrame, fident: float, cov: fl
         return pd.DataFrame({"qs": pd.Series(qs, dtype=object), "ts": pd.Series(ts, dtype=object), "fident": pd.Series(scores, dtype="float64")})
 
     left, right = dealt(q, "nq", "nt", "qp", "tp"), dealt(t, "nt", "nq", "tp", "qp")
+    # a fixed number of partitions: adaptive execution would put these small blocks, each long work, into one task
+    left, right = left.repartition(tasks, *key), right.repartition(tasks, *key)
     return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(align, schema)
 
 
@@ -164,9 +167,9 @@ def similar_sequences(queries: DataFrame, targets: DataFrame, k: int = 6, shared
     return scored.filter((F.col("fident") >= fident) & (F.col("qcov") >= cov) & (F.col("tcov") >= cov)).groupBy("query_id", "target_id").agg(F.max("fident").alias("fident"), F.max("qcov").alias("qcov"), F.max("tcov").alias("tcov"))
 
 
-def top_hits(hits: DataFrame, k: int = 10) -> DataFrame:
+def top_hits(hits: DataFrame, k: int = 10, by: tuple[str, ...] = ("query_id",)) -> DataFrame:
     """The k best targets of each query by identity, then id. Spark limits groups before the shuffle, so no query's hits gather in one task."""
-    w = Window.partitionBy("query_id").orderBy(F.desc("fident"), "target_id")
+    w = Window.partitionBy(*by).orderBy(F.desc("fident"), "target_id")
     return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 

@@ -352,16 +352,24 @@ def _texts(spark: SparkSession, d: str, table: str, col: str) -> DataFrame:
     return _read(spark, d, table).select(canonical_id("id").alias("id"), letters(col).alias("seq"))
 
 
+def _pairs_of_splits(spark: SparkSession, d: str, col: str, cov: float) -> DataFrame:
+    """(kind, query_id, target_id, fident): the released splits against each other, named as audit.cross_split_hits does."""
+    out = None
+    for kind, q, t in (("valid_train", "validation", "train"), ("test_train", "test", "train"), ("valid_test", "validation", "test")):
+        h = similarity.similar_sequences(_texts(spark, d, q, col), _texts(spark, d, t, col), cov=cov).select(F.lit(kind).alias("kind"), "query_id", "target_id", "fident")
+        out = h if out is None else out.unionByName(h)
+    return out
+
+
 def sequence_similarity_audit(spark: SparkSession, d: str) -> DataFrame:
-    """Released validation chains against train."""
-    h = similarity.similar_sequences(_texts(spark, d, "validation", "sequence_aa"), _texts(spark, d, "train", "sequence_aa"))
-    return h.select("query_id", "target_id", F.round("fident", 6).alias("fident"))
+    """Released validation and test chains against train, and validation against test."""
+    return _pairs_of_splits(spark, d, "sequence_aa", 0.8).select("kind", "query_id", "target_id", F.round("fident", 6).alias("fident"))
 
 
 def structure_similarity_topk(spark: SparkSession, d: str) -> DataFrame:
-    """Released test chains against train by structural alphabet, ten best each."""
-    h = similarity.similar_sequences(_texts(spark, d, "test", "sequence_3di"), _texts(spark, d, "train", "sequence_3di"), cov=0.5)
-    return similarity.top_hits(h).select("query_id", "target_id", F.round("fident", 6).alias("fident"), F.col("rank").cast("int").alias("rank"))
+    """The same pairs of splits by structural alphabet, ten best of each chain and pair of splits."""
+    h = similarity.top_hits(_pairs_of_splits(spark, d, "sequence_3di", 0.5), by=("kind", "query_id"))
+    return h.select("kind", "query_id", "target_id", F.round("fident", 6).alias("fident"), F.col("rank").cast("int").alias("rank"))
 
 
 def similarity_clusters(spark: SparkSession, d: str) -> DataFrame:

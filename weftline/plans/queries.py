@@ -149,11 +149,14 @@ def group_representative(spark: SparkSession, d: str) -> DataFrame:
     return rank.representative(r, ["merged_group"], rank.by_completeness())
 
 
-def _sequence_edges(spark: SparkSession, d: str) -> DataFrame:
+def _sequence_edges(spark: SparkSession, d: str, accessions: bool = True) -> DataFrame:
+    """Chains of one cluster, entry or exact sequence, and of one accession except for the first split, which does not use these."""
     r = _records(spark, d, "pdb_id", "aa").withColumn("digest", F.sha2("aa", 256))
     ids = r.select("id")
-    acc = _accessions(spark, d).join(ids, "id", "left_semi")
-    return edges.union_edges(edges.cluster_edges(_membership(spark, d), ids, "merged_group", "id"), edges.bucket_edges(r, "pdb_id"), edges.bucket_edges(r, "digest"), edges.value_edges(acc, "accessions"))
+    parts = [edges.cluster_edges(_membership(spark, d), ids, "merged_group", "id"), edges.bucket_edges(r, "pdb_id"), edges.bucket_edges(r, "digest")]
+    if accessions:
+        parts.append(edges.value_edges(_accessions(spark, d).join(ids, "id", "left_semi"), "accessions"))
+    return edges.union_edges(*parts)
 
 
 def _structure_edges(spark: SparkSession, d: str) -> DataFrame:
@@ -162,11 +165,6 @@ def _structure_edges(spark: SparkSession, d: str) -> DataFrame:
     return edges.value_edges(a.select("id", multi_value("sifts_pfam_ids").alias("families")), "families")
 
 
-def _entry_sequence_edges(spark: SparkSession, d: str) -> DataFrame:
-    r = _records(spark, d, "pdb_id", "aa").withColumn("digest", F.sha2("aa", 256))
-    return edges.union_edges(edges.bucket_edges(r, "pdb_id"), edges.bucket_edges(r, "digest"))
-
-
 def _labels(spark: SparkSession, d: str, e: DataFrame) -> DataFrame:
     return edges.label_vertices(_records(spark, d, "pdb_id"), connected_components(e))
 
@@ -181,13 +179,13 @@ def components_structure(spark: SparkSession, d: str) -> DataFrame:
 
 def components_overlay(spark: SparkSession, d: str) -> DataFrame:
     """Two groupings at once: each given by its label edges."""
-    one = connected_components(_entry_sequence_edges(spark, d)).select(F.col("id").alias("src"), F.col("component").alias("dst"))
+    one = connected_components(_sequence_edges(spark, d)).select(F.col("id").alias("src"), F.col("component").alias("dst"))
     two = connected_components(_structure_edges(spark, d)).select(F.col("id").alias("src"), F.col("component").alias("dst"))
     return _labels(spark, d, edges.union_edges(one, two))
 
 
 def group_sizes_weights(spark: SparkSession, d: str) -> DataFrame:
-    return rank.group_weights(_labels(spark, d, _entry_sequence_edges(spark, d)))
+    return rank.group_weights(_labels(spark, d, _sequence_edges(spark, d)))
 
 
 #: Test and valid groups held out: few enough for the smallest tables.
@@ -195,7 +193,7 @@ _EVAL = (5, 5)
 
 
 def _split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    r = Scratch(spark, "base").write(_records(spark, d, "aa", "length", "quality_score").join(_labels(spark, d, _entry_sequence_edges(spark, d)), "id"))
+    r = Scratch(spark, "base").write(_records(spark, d, "aa", "length", "quality_score").join(_labels(spark, d, _sequence_edges(spark, d, accessions=False)), "id"))
     selected, held = splits.grouped_split(r, *_EVAL, quality.evaluation_length(), rank.by_quality())
     return r, Scratch(spark, "selected").write(selected), held
 
@@ -218,7 +216,7 @@ def split_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def quality_split(spark: SparkSession, d: str) -> DataFrame:
     """The split by completeness: only usable records, held-out groups labelled as a whole."""
-    r = Scratch(spark, "base").write(_annotated(spark, d).join(_labels(spark, d, _entry_sequence_edges(spark, d)), "id"))
+    r = Scratch(spark, "base").write(_annotated(spark, d).join(_labels(spark, d, _sequence_edges(spark, d)), "id"))
     selected, held = splits.grouped_split(r, *_EVAL, quality.usable() & quality.evaluation_length(), rank.by_completeness(), quality.usable())
     return splits.membership(r, selected, held, whole_groups=True)
 
@@ -233,7 +231,7 @@ def chronological_split(spark: SparkSession, d: str) -> DataFrame:
 
 def novelty_labels(spark: SparkSession, d: str) -> DataFrame:
     s = Scratch(spark, "periods").write(_chronological(spark, d))
-    one = splits.novelty(s, connected_components(_entry_sequence_edges(spark, d)), "sequence_novel")
+    one = splits.novelty(s, connected_components(_sequence_edges(spark, d)), "sequence_novel")
     two = splits.novelty(s, connected_components(_structure_edges(spark, d)), "structure_novel")
     return one.join(two, ["id", "split"])
 

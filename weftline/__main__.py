@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -52,9 +53,25 @@ def main(args: list[str] | None = None) -> None:
         m = table(f"{a.split}/membership").select("id", F.col("component").alias("merged_group"), "split")
         members = m.drop("split").join(table(a.records).select("id", "length", "quality_score"), "id")
         hits = readers.read_hits(spark, a.hits)
-        state = audit.RepairState(table(f"{a.split}/selected"), m.select("merged_group").limit(0), audit.initial_order(m))
+        fs_path = spark._jvm.org.apache.hadoop.fs.Path
+        at = lambda n: f"{a.out}/rounds/{n:04d}"
+        exists = lambda p: fs_path(p).getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs_path(p))
+        n = 0
+        while exists(f"{at(n + 1)}/done"):
+            n += 1
+        if n:  # hits are an audit of the last round's selection
+            rounds = [json.loads(r["rounds"]) for r in table(f"{at(n)}/done").orderBy("n").collect()]
+            state, first = audit.RepairState(table(f"{at(n)}/selected"), table(f"{at(n)}/blocked"), table(f"{at(n)}/order"), rounds), table(f"{at(n)}/initial_eval")
+        else:
+            state = audit.RepairState(table(f"{a.split}/selected"), m.select("merged_group").limit(0), audit.initial_order(m))
+            first = m.filter("split in ('valid', 'test')").select("merged_group").distinct()
         state = audit.repair_round(hits, members, state, a.test_count)
-        state.selected.write.mode("overwrite").parquet(f"{a.out}/selected")
+        frames = {"selected": state.selected, "blocked": state.blocked, "order": state.order, "initial_eval": first, "membership": audit.repaired_membership(members, state, first)}
+        for name, df in frames.items():
+            df.write.mode("overwrite").parquet(f"{at(n + 1)}/{name}")
+        spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(state.rounds)], "n int, rounds string").write.mode("overwrite").parquet(f"{at(n + 1)}/done")
+        for name in ("selected", "membership"):
+            table(f"{at(n + 1)}/{name}").write.mode("overwrite").parquet(f"{a.out}/{name}")
         writers.write_report(spark, f"{a.out}/state.json", {"status": state.status, "rounds": state.rounds})
     elif a.command == "export":
         frames = pipeline.export(table(a.selected), table(a.records))

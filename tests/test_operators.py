@@ -51,17 +51,20 @@ def summary(data):
     return {k: (n, len(v), min(v, default=None), max(v, default=None), min(o, default=None), max(o, default=None), len(set(o))) for k, (n, v, o) in out.items()}
 
 
-@pytest.mark.parametrize("shape", ["mixed", "one_key", "equal_rows", "empty"])
-def test_per_key_summary(spark, shape):
+@pytest.mark.parametrize("partitions", [6, 64, 200])
+@pytest.mark.parametrize("shape", ["mixed", "one_key", "equal_rows", "null_key", "empty"])
+def test_per_key_summary(spark, shape, partitions):
     rnd = random.Random(2)
     data = {
         "mixed": [(rnd.choice(["a", "a", "a", "b", "c", None]), rnd.choice([None, float("nan"), 1.5, 2.0, -3.0]), rnd.choice([None, "x", "y", "z"])) for _ in range(400)],
         "one_key": [("hot", float(i), f"{i // 3:04d}") for i in range(500)],
         "equal_rows": [("hot", 1.0, "same")] * 300 + [("b", 2.0, "t")],
+        "null_key": [(None, float(i), f"{i:04d}") for i in range(600)] + [(f"k{i % 9}", None, None) for i in range(400)],
         "empty": [],
     }[shape]
     df = spark.createDataFrame(data, "k string, v double, o string").withColumn("part", F.lit(7)).withColumn("key", F.lit("clash"))
-    got = {r["key"]: (r["n_rows"], r["n_values"], r["low"], r["high"], r["first_order"], r["last_order"], r["n_orders"]) for r in skew.per_key_summary(df, "k", "v", "o", partitions=6).collect()}
+    out = skew.per_key_summary(df, "k", "v", "o", partitions=partitions)
+    got = {r["key"]: (r["n_rows"], r["n_values"], r["low"], r["high"], r["first_order"], r["last_order"], r["n_orders"]) for r in out.collect()}
     assert got == summary(data)
     if shape == "mixed":
         n = summary(data)
@@ -69,6 +72,14 @@ def test_per_key_summary(spark, shape):
         assert heavy == {k for k, s in n.items() if k is not None and s[0] >= 0.2 * len(data)}
 
 
+def test_a_heavy_null_key_is_cut_across_partitions(spark):
+    df = spark.createDataFrame([(None if i % 2 else f"k{i}", float(i), f"{i:05d}") for i in range(4000)], "k string, v double, o string")
+    cut = df.repartitionByRange(64, "k", "o").withColumn("part", F.spark_partition_id())
+    assert cut.filter("k is null").select("part").distinct().count() > 20
+    null = skew.per_key_summary(df, "k", "v", "o", 64).filter("key is null").first()
+    assert (null["n_rows"], null["n_orders"], null["first_order"], null["last_order"], null["total"]) == (2000, 2000, "00001", "03999", float(sum(range(1, 4000, 2))))
+
+
 def test_exclusion_reason_order(spark):
     good = "ACDEFGHIKL" * 4
     cases = [

@@ -2,90 +2,52 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import Scratch
 
-def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One partial state per run of equal keys in a sorted partition; the open run is carried over batch ends."""
-    held = None
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        part = pdf["part"].iat[0]
-        g = pdf.groupby("key", sort=False, dropna=False)
-        s = pd.DataFrame({
-            "n": g.size(), "n_value": g["value"].count(), "total": g["value"].sum(min_count=1), "low": g["value"].min(), "high": g["value"].max(),
-            "first_order": g["ord"].first(), "last_order": g["ord"].last(), "steps": g["ord"].nunique(),
-        }).reset_index()
-        s.insert(0, "part", part)
-        if held is not None:
-            a, b = held["key"].iat[0], s["key"].iat[0]
-            if a == b or (pd.isna(a) and pd.isna(b)):
-                s = pd.concat([_merge(held, s.iloc[:1]), s.iloc[1:]], ignore_index=True)
-            else:
-                s = pd.concat([held, s], ignore_index=True)
-        held = s.iloc[-1:]
-        if len(s) > 1:
-            yield s.iloc[:-1]
-    if held is not None:
-        yield held
-
-
-def _merge(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-    x, y = a.iloc[0], b.iloc[0]
-    two = pd.concat([a, b])
-    same = pd.notna(x["last_order"]) and pd.notna(y["first_order"]) and x["last_order"] == y["first_order"]
-    out = a.copy()
-    out["n"], out["n_value"] = x["n"] + y["n"], x["n_value"] + y["n_value"]
-    out["total"] = two["total"].sum(min_count=1)
-    out["low"], out["high"] = two["low"].min(), two["high"].max()
-    out["first_order"] = x["first_order"] if pd.notna(x["first_order"]) else y["first_order"]
-    out["last_order"] = y["last_order"] if pd.notna(y["last_order"]) else x["last_order"]
-    out["steps"] = x["steps"] + y["steps"] - int(same)
-    return out
-
-
-STATE = "part int, key string, n long, n_value long, total double, low double, high double, first_order string, last_order string, steps long"
+#: What one partition knows of a key; stitched in partition order.
+STATE = ("part", "n", "n_value", "total", "low", "high", "first_order", "last_order", "steps")
 
 
 def per_key_summary(df: DataFrame, key: str, value: str, order: str, partitions: int | None = None) -> DataFrame:
     """(key, n_rows, n_values, total, low, high, first_order, last_order, n_orders) per key, without a skewed task.
 
-    Rows are range-partitioned on (key, order, row number): Spark samples the quantiles of that composite key, so a
-    heavy key is cut across as many partitions as its share of rows needs, even where all its orders are equal. Each
-    partition is sorted and folded into one partial state per run of a key. Only states go on: one per key and
-    partition it touches, so at most `partitions` for the heaviest key. They are stitched in partition order; an
-    order value on both sides of a cut counts once in n_orders, the number of different orders of the key.
+    Rows of one key and order combine before the first shuffle, so that repeats of a pair load no task. The pairs are
+    range-partitioned on (key, order): Spark samples the quantiles of that composite key, so a heavy key is cut across
+    as many partitions as its share of pairs needs. Each partition folds its stretch of a key into one partial state
+    before anything leaves it: one state per key and partition it touches, so at most `partitions` for the heaviest
+    key. They are stitched in partition order; a pair lies on one side of every cut, so orders count once.
 
     A null key is a key of its own. Null and NaN values count in n_rows alone; null orders in no order figure. An
     empty input gives no rows. `value` is read as double, `order` as string and compared as such.
     """
-    spark = df.sparkSession
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
+    n = partitions or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
     v = F.col(value).cast("double")
-    slim = df.select(F.col(key).alias("key"), F.when(~F.isnan(v), v).alias("value"), F.col(order).cast("string").alias("ord")).withColumn("row", F.monotonically_increasing_id())
-    cut = slim.repartitionByRange(n, "key", "ord", "row").sortWithinPartitions("key", "ord", "row").select(F.spark_partition_id().alias("part"), "key", "value", "ord")
-    states = cut.mapInPandas(_runs, STATE)
-    stitched = states.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("part", "n", "n_value", "total", "low", "high", "first_order", "last_order", "steps"))).alias("s"))
-    seen = "filter(s, x -> x.first_order is not null)"
+    slim = df.select(F.col(key).alias("key"), F.when(~F.isnan(v), v).alias("value"), F.col(order).cast("string").alias("ord"))
+    pairs = slim.groupBy("key", "ord").agg(F.count(F.lit(1)).alias("n"), F.count("value").alias("n_value"), F.sum("value").alias("total"), F.min("value").alias("low"), F.max("value").alias("high"))
+    cut = pairs.repartitionByRange(n, "key", "ord").withColumn("part", F.spark_partition_id())
+    states = cut.groupBy("part", "key").agg(
+        F.sum("n").alias("n"), F.sum("n_value").alias("n_value"), F.sum("total").alias("total"), F.min("low").alias("low"), F.max("high").alias("high"),
+        F.min("ord").alias("first_order"), F.max("ord").alias("last_order"), F.count("ord").alias("steps"))
+    stitched = states.groupBy("key").agg(F.sort_array(F.collect_list(F.struct(*STATE))).alias("s"))
+    whole = lambda c: f"aggregate(s, 0L, (t, x) -> t + x.{c})"
+    ordered = "filter(s, x -> x.first_order is not null)"
     return stitched.select(
         "key",
-        F.expr("aggregate(s, 0L, (t, x) -> t + x.n)").alias("n_rows"),
-        F.expr("aggregate(s, 0L, (t, x) -> t + x.n_value)").alias("n_values"),
+        F.expr(whole("n")).alias("n_rows"),
+        F.expr(whole("n_value")).alias("n_values"),
         F.expr("aggregate(filter(s, x -> x.total is not null), cast(null as double), (t, x) -> coalesce(t, 0d) + x.total)").alias("total"),
         F.expr("array_min(transform(s, x -> x.low))").alias("low"),
         F.expr("array_max(transform(s, x -> x.high))").alias("high"),
-        F.expr(f"try_element_at({seen}, 1).first_order").alias("first_order"),
-        F.expr(f"try_element_at({seen}, -1).last_order").alias("last_order"),
-        F.expr(f"aggregate({seen}, named_struct('n', 0L, 'last', cast(null as string)), (t, x) -> named_struct('n', t.n + x.steps - if(t.last <=> x.first_order, 1L, 0L), 'last', x.last_order)).n").alias("n_orders"),
+        F.expr(f"try_element_at({ordered}, 1).first_order").alias("first_order"),
+        F.expr(f"try_element_at({ordered}, -1).last_order").alias("last_order"),
+        F.expr(whole("steps")).alias("n_orders"),
     )
 
 
 def heavy_keys(summary: DataFrame, share: float) -> DataFrame:
     """(key, n_rows) of the keys, null aside, with at least `share` of all rows a summary counts."""
-    whole = summary.agg(F.sum("n_rows"))
-    return summary.filter((F.col("n_rows") >= F.lit(share) * whole.scalar()) & F.col("key").isNotNull()).select("key", "n_rows")
+    table, seen = Scratch(summary.sparkSession, "heavy").write(summary.select("key", "n_rows"), whole=F.coalesce(F.sum("n_rows"), F.lit(0)))
+    return table.filter((F.col("n_rows") >= share * seen["whole"]) & F.col("key").isNotNull())

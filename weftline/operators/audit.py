@@ -50,43 +50,44 @@ def initial_order(membership: DataFrame, seed: int = 42) -> DataFrame:
     return train.withColumn("position", F.md5(F.concat(F.lit(f"{seed}:"), F.col("merged_group"))))
 
 
-def repair_round(hits: DataFrame, members: DataFrame, state: RepairState, test_count: int | None = None) -> RepairState:
+def repair_round(hits: DataFrame, members: DataFrame, state: RepairState, test_count: int | None = None, partly: bool = False) -> RepairState:
     """One round over audited hits (see cross_split_hits).
 
-    A train group hit by valid or test is blocked and leaves train; a test group hit by valid is blocked and leaves
-    test; valid never changes. Test is refilled to test_count with one representative each of the first groups of the
-    initial order that are neither blocked nor evaluated. members: id, merged_group, length, quality_score.
-    Without hits the state is passed on as passed. Too few groups to refill with raise ValueError.
+    A train group hit by valid or test is blocked and its members leave train; a test group hit by valid is blocked and
+    leaves test; valid never changes. Test is refilled to test_count (as many as before, unless given) with one
+    representative each of the first groups of the initial order that are neither blocked nor evaluated; their members
+    leave train. members: id, merged_group, length, quality_score. Without hits the state is passed on as passed. Too
+    few groups to refill with raise ValueError, unless partly: then all there are refill it.
     """
     scratch = Scratch(members.sparkSession, "repair")
     group = members.select("id", "merged_group")
     audited, seen = scratch.write(cross_split_hits(hits, state.selected), n=count_rows(), train=F.count_if(F.col("kind").endswith("_train")))
     if not seen["n"]:
         return RepairState(state.selected, state.blocked, state.order, [*state.rounds, {"train_hit_rows": 0, "valid_test_hit_rows": 0}], "sequence_audit_passed")
-    struck = audited.join(group.withColumnRenamed("id", "target"), "target").select("merged_group").distinct()
-    blocked, n_struck = scratch.write(state.blocked.select("merged_group").unionByName(struck).distinct(), n=count_rows())
-    placed = state.selected.join(group, "id")
-    kept = placed.filter("split = 'valid'").unionByName(placed.filter("split != 'valid'").join(blocked, "merged_group", "left_anti"))
-    kept, after = scratch.write(kept, test=F.count_if(F.col("split") == "test"))
-    n_before = state.selected.filter("split = 'test'").count()
-    want = n_before if test_count is None else test_count
+    struck = scratch.write(audited.select("kind", F.col("target").alias("id")).distinct().join(group, "id").select(F.when(F.col("kind").endswith("_train"), "train").otherwise("test").alias("split"), "merged_group").distinct())
+    blocked, n_blocked = scratch.write(state.blocked.select("merged_group").unionByName(struck.select("merged_group")).distinct(), n=count_rows())
+    placed, before = scratch.write(state.selected.join(group, "id", "left"), test=F.count_if(F.col("split") == "test"))
+    kept, after = scratch.write(placed.join(struck, ["split", "merged_group"], "left_anti"), test=F.count_if(F.col("split") == "test"))
+    want = before["test"] if test_count is None else test_count
     short = max(0, want - after["test"])
     evaluated = kept.filter("split != 'train'").select("merged_group").distinct()
     free = state.order.join(blocked, "merged_group", "left_anti").join(evaluated, "merged_group", "left_anti")
     reps = representative(members.filter(evaluation_length()), ["merged_group"], by_quality(), "id")
-    fill, got = scratch.write(free.join(reps, "merged_group").orderBy("position", "merged_group").limit(short).select("id", F.lit("test").alias("split"), "merged_group"), n=count_rows())
-    if got["n"] < short:
+    numbered = number_rows(free.join(reps, "merged_group").select("position", "merged_group", "id"), ["position", "merged_group"])
+    fill, got = scratch.write(numbered.filter(F.col("row_index") < short).select("id", F.lit("test").alias("split"), "merged_group"), n=count_rows())
+    if got["n"] < short and not partly:
         raise ValueError(f"could replenish only {after['test'] + got['n']} of {want} test groups")
-    rest = kept.join(F.broadcast(fill.select("merged_group", F.lit(True).alias("moved"))), "merged_group", "left").filter("moved is null or split != 'train'")
+    moved = fill.select("merged_group", F.lit("train").alias("split"))
+    rest = kept.join(moved, ["split", "merged_group"], "left_anti")
     selected, n = scratch.write(rest.select("id", "split").unionByName(fill.select("id", "split")), train=F.count_if(F.col("split") == "train"), valid=F.count_if(F.col("split") == "valid"), test=F.count_if(F.col("split") == "test"))
-    metrics = {"train_hit_rows": seen["train"], "valid_test_hit_rows": seen["n"] - seen["train"], "blocked_groups": n_struck["n"], "test_groups_replaced": got["n"], **{f"{k}_records_after": v for k, v in n.items()}}
+    metrics = {"train_hit_rows": seen["train"], "valid_test_hit_rows": seen["n"] - seen["train"], "blocked_groups": n_blocked["n"], "test_groups_replaced": got["n"], **{f"{k}_records_after": v for k, v in n.items()}}
     return RepairState(selected, blocked, state.order, [*state.rounds, metrics])
 
 
-def repair_to_fixpoint(audit: Callable[[DataFrame], DataFrame], members: DataFrame, state: RepairState, max_rounds: int = 20, test_count: int | None = None) -> RepairState:
+def repair_to_fixpoint(audit: Callable[[DataFrame], DataFrame], members: DataFrame, state: RepairState, max_rounds: int = 20, test_count: int | None = None, partly: bool = False) -> RepairState:
     """Audit and repair until an audit finds nothing. audit: selected -> hits. No clean audit in max_rounds raises RuntimeError."""
     for _ in range(max_rounds):
-        state = repair_round(audit(state.selected), members, state, test_count)
+        state = repair_round(audit(state.selected), members, state, test_count, partly)
         if state.status == "sequence_audit_passed":
             return state
     raise RuntimeError(f"no clean audit in {max_rounds} rounds")
@@ -109,6 +110,14 @@ def repaired_membership(members: DataFrame, state: RepairState, initial_eval: Da
     return j.select("id", "merged_group", label.alias("split"), (F.col("evaluated") & F.col("split").isNotNull()).cast("int").alias("sel")).select("id", "merged_group", "split", F.coalesce("sel", F.lit(0)).alias("selected_representative"))
 
 
+def repaired_excluded(members: DataFrame, state: RepairState, initial_eval: DataFrame) -> DataFrame:
+    """(id, reason) of the records no split holds after repair: their group was blocked, is or was evaluated, or they repeat a sequence."""
+    flag = lambda t, name: t.select("merged_group").distinct().withColumn(name, F.lit(True))
+    evaluated = state.selected.filter("split != 'train'").join(members.select("id", "merged_group"), "id").unionByName(initial_eval.select("merged_group"), allowMissingColumns=True)
+    left = members.select("id", "merged_group").join(state.selected.select("id"), "id", "left_anti").join(flag(state.blocked, "b"), "merged_group", "left").join(flag(evaluated, "e"), "merged_group", "left")
+    return left.select("id", F.when(F.col("b"), "sequence_audit_conflict_group_removed").when(F.col("e"), "heldout_group_nonrepresentative").otherwise("exact_aa_duplicate_or_group_member").alias("reason"))
+
+
 def number_rows(df: DataFrame, order: list[str], name: str = "row_index") -> DataFrame:
     """Rows numbered from 0 in a total order, without sorting in one task.
 

@@ -47,16 +47,26 @@ def _components(name: str, edges: str) -> str:
 {name} as (select id, min(label) as component from {name}_r group by id)"""
 
 
-_ENTRY_EDGES = f"{_star('rec', 'pdb_id')} union all {_star('rec', 'aa')}"
-_SEQUENCE_EDGES = f"{_ENTRY_EDGES} union all select merged_group, id from mem where id in (select id from rec) and merged_group in (select id from rec) union all select id, min(id) over (partition by accession) from (select * from acc where id in (select id from rec))"
+_CLUSTER_EDGES = f"{_star('rec', 'pdb_id')} union all {_star('rec', 'aa')} union all select merged_group, id from mem where id in (select id from rec) and merged_group in (select id from rec)"
+_SEQUENCE_EDGES = f"{_CLUSTER_EDGES} union all select id, min(id) over (partition by accession) from (select * from acc where id in (select id from rec))"
 _STRUCTURE_EDGES = _star("fam", "family")
+_OVERLAY_EDGES = f"{_SEQUENCE_EDGES} union all {_STRUCTURE_EDGES}"
 _RANKED = """base as (select rec.*, comp.component from rec join comp using (id)),
 elig as (select component, id, row_number() over (partition by component order by {order}) as rn from {table} where {cond}),
-pos as (select component, id, row_number() over (order by md5('42:' || component), component) as p from elig where rn = 1),
-held as (select component, id as representative, case when p <= 5 then 'test' else 'valid' end as split from pos where p <= 10),
+pos as (select component, id, row_number() over (order by md5('42:' || component), component) as p, greatest(1, floor(0.1::double * count(*) over ())) as k from elig where rn = 1),
+held as (select component, id as representative, case when p <= k then 'test' else 'valid' end as split from pos where p <= 2 * k),
 tr as (select id, row_number() over (partition by aa order by {order}) as rn from {table} where aa is not null and component not in (select component from held) and {train}),
 sel as (select representative as id, split from held union all select id, 'train' from tr where rn = 1)"""
-_SPLIT = f"with recursive {_REC}, {_components('comp', _ENTRY_EDGES)}, " + _RANKED.format(order=_QUALITY_ORDER, table="base", cond=_FITS, train="true")
+_SPLIT = f"with recursive {_REC}, {_MEM}, {_components('comp', _CLUSTER_EDGES)}, " + _RANKED.format(order=_QUALITY_ORDER, table="base", cond=_FITS, train="true")
+
+
+def _quality_split(edges: str, name: str) -> str:
+    ranked = _RANKED.format(order=_COMPLETE_ORDER, table="full_", cond=f"{_USABLE} and {_FITS}", train=_USABLE)
+    return f"""with recursive {_REC}, {_ANN}, {_MEM}, {_ACC}, {_FAM}, {_JOINED}, {_components('comp', edges)}, full_ as (select joined.*, comp.component from joined join comp using (id)), {ranked}
+select base.id, '{name}:' || base.component as group_id, count(*) over (partition by base.component) as group_size, 1.0::double / count(*) over (partition by base.component) as sampling_weight, coalesce(held.split, 'train') as split, (sel.id is not null)::int as selected
+from base left join held using (component) left join sel on sel.id = base.id"""
+
+
 _PERIODS = f"""dated as (select *, case when release_date <= '2024-12-31' then 'train' when release_date <= '2025-12-31' then 'valid' when release_date <= '2026-09-30' then 'test' end as split from joined where {_USABLE} and coalesce(release_date, '') <> ''),
 chrono as (select id, split from (select id, split, row_number() over (partition by split, aa order by {_COMPLETE_ORDER}) as rn from dated where split is not null and aa is not null) where rn = 1)"""
 _DELIVERED = f"del as (select id, max(split) as split from (select {_id('id')} as id, 'train' as split from train union all select {_id('id')}, 'valid' from validation union all select {_id('id')}, 'test' from test) where id is not null group by id)"
@@ -76,17 +86,21 @@ _ENTRY_KEY = "coalesce(nullif(upper(regexp_replace(pdb_id, '\\s+', '', 'g')), ''
 _GROUP_KEY = _id("nullif(trim(merged_group), '')")
 
 
-def _grams(table: str, col: str, k: int) -> str:
-    return f"(select distinct {_id('id')} as id, seq, list_distinct(list_transform(range(1, (length(seq) - {k - 2})::bigint), lambda i: substr(seq, i, {k}))) as terms from (select id, nullif(regexp_replace(upper({col}), '[^A-Z]+', '', 'g'), '') as seq from {table}) where length(seq) >= {k} and id is not null)"
-
+def _similar(col: str, cov: float) -> str:
+    text = lambda t: f"(select distinct {_id('id')} as id, nullif(regexp_replace(upper({col}), '[^A-Z]+', '', 'g'), '') as seq from {t} where id is not null)"
+    part = lambda kind, q, t: f"""select '{kind}' as kind, q.id as query_id, t.id as target_id, max(1 - levenshtein(q.seq, t.seq) / greatest(length(q.seq), length(t.seq))) as fident from {text(q)} q join {text(t)} t
+  on q.id <> t.id and length(q.seq) >= {cov} * length(t.seq) and length(t.seq) >= {cov} * length(q.seq) group by q.id, t.id"""
+    return f"sim as (select * from ({part('valid_train', 'validation', 'train')} union all {part('test_train', 'test', 'train')} union all {part('valid_test', 'validation', 'test')}) where fident >= 0.3)"
 
-def _similar(queries: str, targets: str, col: str, cov: float, k: int) -> str:
-    return f"""q as {_grams(queries, col, k)}, t as {_grams(targets, col, k)},
-cand as (select distinct q.id as qi, q.seq as qs, t.id as ti, t.seq as ts, q.terms as qt, t.terms as tt from (select id, seq, terms, unnest(terms) as term from q) q join (select id, seq, terms, unnest(terms) as term from t) t using (term) where q.id <> t.id
-  and length(q.seq) >= {cov} * length(t.seq) and length(t.seq) >= {cov} * length(q.seq)),
-sim as (select qi as query_id, ti as target_id, max(1 - levenshtein(qs, ts) / greatest(length(qs), length(ts))) as fident from cand
-  where len(list_intersect(qt, tt)) >= ceil(0.1 * greatest(len(qt), len(tt))) group by 1, 2 having max(1 - levenshtein(qs, ts) / greatest(length(qs), length(ts))) >= 0.3)"""
 
+_REPAIR = f"""{_REC}, {_MEM}, {_DELIVERED}, {_HIT}, members as (select id, merged_group, length, quality_score from rec join mem using (id)), start as (select id, split from del where id in (select id from members)), {_CROSS.format(s='start')},
+struck as (select distinct case when kind = 'valid_test' then 'test' else 'train' end as split, merged_group from crossed join members on members.id = target), placed as (select id, split, merged_group from start join members using (id)),
+kept as (select * from placed where (split, merged_group) not in (select (split, merged_group) from struck)),
+groups as (select merged_group from placed group by 1 having bool_and(split = 'train')),
+reps as (select merged_group, id, row_number() over (partition by merged_group order by {_QUALITY_ORDER}) as rn from members where {_FITS}),
+free as (select g.merged_group, r.id, row_number() over (order by md5('42:' || g.merged_group), g.merged_group) as p from groups g join reps r on r.merged_group = g.merged_group and rn = 1
+  where g.merged_group not in (select merged_group from struck) and g.merged_group not in (select merged_group from kept where split <> 'train')),
+fill as (select id, merged_group from free where p <= (select count(*) from placed where split = 'test') - (select count(*) from kept where split = 'test'))"""
 
 SQL: dict[str, str] = {
     "exclusion_reason_counts": f"with {_REC} select coalesce({_REASON}, 'kept') as reason, count(*) as n from rec group by 1",
@@ -109,29 +123,22 @@ select p.pdb_id, coalesce(string_agg(v, ';' order by v) filter (where k = 'pfam'
     "group_representative": f"with {_REC}, {_ANN}, {_MEM}, {_JOINED} select merged_group, id as representative from (select merged_group, id, row_number() over (partition by merged_group order by {_COMPLETE_ORDER}) as rn from joined join mem using (id) where {_USABLE} and {_FITS}) where rn = 1",
     "components_sequence": f"with recursive {_REC}, {_ANN}, {_MEM}, {_ACC}, {_components('comp', _SEQUENCE_EDGES)} select id, component from comp",
     "components_structure": f"with recursive {_REC}, {_ANN}, {_FAM}, {_components('comp', _STRUCTURE_EDGES)} select id, component from comp",
-    "components_overlay": f"with recursive {_REC}, {_ANN}, {_FAM}, {_components('comp', f'{_ENTRY_EDGES} union all {_STRUCTURE_EDGES}')} select id, component from comp",
-    "group_sizes_weights": f"with recursive {_REC}, {_components('comp', _ENTRY_EDGES)} select id, 'sequence:' || component as group_id, count(*) over (partition by component) as group_size, 1.0::double / count(*) over (partition by component) as sampling_weight from comp",
+    "components_overlay": f"with recursive {_REC}, {_ANN}, {_MEM}, {_ACC}, {_FAM}, {_components('comp', _OVERLAY_EDGES)} select id, component from comp",
+    "group_sizes_weights": f"with recursive {_REC}, {_ANN}, {_MEM}, {_ACC}, {_components('comp', _SEQUENCE_EDGES)} select id, 'sequence:' || component as group_id, count(*) over (partition by component) as group_size, 1.0::double / count(*) over (partition by component) as sampling_weight from comp",
     "grouped_split": f"{_SPLIT} select id, split from sel",
     "split_counts": f"{_SPLIT} select split, count(*) as n from sel group by 1",
     "split_membership": f"{_SPLIT} select base.id, base.component, case when sel.split in ('valid', 'test') then sel.split when held.split is not null then 'heldout_excluded' else 'train' end as split, coalesce((sel.split in ('valid', 'test'))::int, 0) as selected from base left join held using (component) left join sel on sel.id = base.id",
     "split_excluded": f"{_SPLIT} select base.id, case when held.component is not null then 'heldout_group_nonrepresentative' else 'exact_aa_duplicate' end as reason from base left join held using (component) where base.id not in (select id from sel)",
-    "quality_split": f"with recursive {_REC}, {_ANN}, {_JOINED}, {_components('comp', _ENTRY_EDGES)}, full_ as (select joined.*, comp.component from joined join comp using (id)), "
-    + _RANKED.format(order=_COMPLETE_ORDER, table="full_", cond=f"{_USABLE} and {_FITS}", train=_USABLE)
-    + " select base.id, base.component, coalesce(held.split, 'train') as split, (sel.id is not null)::int as selected from base left join held using (component) left join sel on sel.id = base.id",
+    "quality_split": _quality_split(_SEQUENCE_EDGES, "sequence"),
+    "structure_split": _quality_split(_OVERLAY_EDGES, "structure"),
     "chronological_split": f"with {_REC}, {_ANN}, {_JOINED}, {_PERIODS} select id, split from chrono",
-    "novelty_labels": f"""with recursive {_REC}, {_ANN}, {_FAM}, {_JOINED}, {_PERIODS}, {_components('comp', _ENTRY_EDGES)}, {_components('fold', _STRUCTURE_EDGES)}
+    "novelty_labels": f"""with recursive {_REC}, {_ANN}, {_MEM}, {_ACC}, {_FAM}, {_JOINED}, {_PERIODS}, {_components('comp', _SEQUENCE_EDGES)}, {_components('fold', _STRUCTURE_EDGES)}
 select c.id, c.split, (comp.component not in (select component from comp join chrono using (id) where split = 'train'))::int as sequence_novel, (fold.component not in (select component from fold join chrono using (id) where split = 'train'))::int as structure_novel
 from chrono c join comp using (id) join fold using (id) where c.split <> 'train'""",
     "key_translation_edges": f"with {_MEM}, {_HIT} select distinct coalesce(a.merged_group, q) as src, coalesce(b.merged_group, t) as dst from hit left join mem a on a.id = q left join mem b on b.id = t where coalesce(a.merged_group, q) <> coalesce(b.merged_group, t)",
     "hits_audit": "select count(*) as n_hits, count(*) filter (where fident >= 0.3 and not isnan(fident) and qcov >= 0.8 and not isnan(qcov) and tcov >= 0.8 and not isnan(tcov)) as n_violations from sequence_hits",
     "cross_split_hits": f"with {_DELIVERED}, {_HIT}, {_CROSS.format(s='del')} select kind, query, target from crossed",
-    "repair_round": f"""with {_REC}, {_MEM}, {_DELIVERED}, {_HIT}, members as (select id, merged_group from rec join mem using (id)), start as (select id, split from del where id in (select id from members)), {_CROSS.format(s='start')},
-blocked as (select distinct merged_group from crossed join members on members.id = target) select id, split from start join members using (id) where split = 'valid' or merged_group not in (select merged_group from blocked)""",
-    "repair_fixpoint": f"""with {_REC}, {_MEM}, {_DELIVERED}, {_HIT}, members as (select id, merged_group from rec join mem using (id)), start as (select id, split from del where id in (select id from members)), {_CROSS.format(s='start')},
-blocked as (select distinct merged_group from crossed join members on members.id = target), fin as (select id, split, merged_group from start join members using (id) where split = 'valid' or merged_group not in (select merged_group from blocked)),
-per as (select merged_group, bool_or(split <> 'train') as ev, bool_or(split = 'train') as tr from fin group by 1), was as (select distinct merged_group from start join members using (id) where split <> 'train'), e as (select id, split from fin where split <> 'train')
-select m.id, m.merged_group, case when ev then coalesce(e.split, 'heldout_excluded') when m.merged_group in (select merged_group from blocked) then 'sequence_audit_removed' when tr then 'train' when m.merged_group in (select merged_group from was) then 'heldout_excluded' else 'train_excluded' end as split,
-  coalesce((ev and e.split is not null)::int, 0) as selected_representative from members m left join per using (merged_group) left join e on e.id = m.id""",
+    "repair_round": f"""with {_REPAIR} select id, split from kept where not (split = 'train' and merged_group in (select merged_group from fill)) union all select id, 'test' from fill""",
     "residue_chain_rollup": """with atoms as (select l_orderkey as chain, l_linenumber as pos, (['N', 'CA', 'C', 'O'])[(l_partkey % 4)::int + 1] as atom, l_returnflag = 'R' as alt, l_quantity as occ from lineitem),
 res as (select chain, pos, bool_or(atom = 'CA') as ca, count(distinct atom) = 4 as bb, bool_or(alt) as alt, max(occ) filter (where atom = 'CA') as occ from atoms group by 1, 2)
 select chain, count(*) filter (where ca) as observed_ca_residues, count(*) filter (where bb) as complete_backbone_residues, coalesce(max(pos) filter (where ca) - min(pos) filter (where ca) + 1 - count(distinct pos) filter (where ca), -1)::bigint as internal_missing_residues,
@@ -150,8 +157,8 @@ union all select 'except_all', count(*) from (select * from r except all select
     "sorted_limit": f"with {_REC} select id, length from rec where length is not null order by length desc, id limit 20",
     "vector_neighbours_topk": """with q as (select vec_id as qi, embedding as qe from embeddings where vec_id % 50 = 0), s as (select qi, vec_id as ti, list_cosine_similarity(qe::double[], embedding::double[]) as c from q join embeddings on qi <> vec_id)
 select qi as query_id, ti as target_id, round(c, 6) as cosine, rn::int as rank from (select *, row_number() over (partition by qi order by round(c, 9) desc, ti) as rn from s) where rn <= 5""",
-    "sequence_similarity_audit": f"with {_similar('validation', 'train', 'sequence_aa', 0.8, 6)} select query_id, target_id, round(fident, 6) as fident from sim",
-    "structure_similarity_topk": f"with {_similar('test', 'train', 'sequence_3di', 0.5, 8)} select query_id, target_id, round(fident, 6) as fident, rn::int as rank from (select *, row_number() over (partition by query_id order by fident desc, target_id) as rn from sim) where rn <= 10",
+    "sequence_similarity_audit": f"with {_similar('sequence_aa', 0.8)} select kind, query_id, target_id, round(fident, 6) as fident from sim",
+    "structure_similarity_topk": f"with {_similar('sequence_3di', 0.5)} select kind, query_id, target_id, round(fident, 6) as fident, rn::int as rank from (select *, row_number() over (partition by kind, query_id order by fident desc, target_id) as rn from sim) where rn <= 10",
     "fasta_roundtrip": f"with {_REC} select id, sha256(aa) as sha256 from rec where aa is not null",
     "tsv_roundtrip": "select merged_group, split, count(*) as n from cluster_membership group by 1, 2",
     "streamed_reason_counts": f"""select strftime(date '1970-01-01' + (7 * floor(epoch(loaded_at) / 604800))::int, '%Y-%m-%d') as period_start, coalesce({_REASON}, 'kept') as reason, count(*) as n

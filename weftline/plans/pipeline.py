@@ -70,13 +70,15 @@ def overlay(records: DataFrame, *groups: DataFrame) -> DataFrame:
     return edges.label_vertices(records, connected_components(edges.union_edges(*(g.select(F.col("id").alias("src"), F.col("component").alias("dst")) for g in groups))))
 
 
-def split(records: DataFrame, groups: DataFrame, test_groups: int = 1000, valid_groups: int = 1000, by: Column | None = None, usable: Column | None = None, seed: int = 42, mode: str = "hash") -> dict[str, DataFrame]:
-    """selected, membership and excluded of a grouped split; by: the order of representatives, highest quality unless given."""
+def split(records: DataFrame, groups: DataFrame, test_groups: float = 1000, valid_groups: float = 1000, by: Column | None = None, usable: Column | None = None, seed: int = 42, mode: str = "hash", name: str = "sequence") -> dict[str, DataFrame]:
+    """selected, membership and excluded of a grouped split; by: the order of representatives, highest quality unless given.
+    With usable the membership has group sizes and sampling weights, its groups being called `<name>:<group>`."""
     order, fit = (rank.by_quality() if by is None else by), (quality.evaluation_length() if usable is None else usable & quality.evaluation_length())
     base = Scratch(records.sparkSession, "split-base").write(records.join(groups, "id"))
     selected, held = splits.grouped_split(base, test_groups, valid_groups, fit, order, usable, seed, mode)
     selected = Scratch(records.sparkSession, "split-selected").write(selected)
-    return {"selected": selected, "membership": splits.membership(base, selected, held, whole_groups=usable is not None), "excluded": splits.excluded(base, selected, held)}
+    members = splits.membership(base, selected, held) if usable is None else splits.weighted_membership(base, selected, held, name)
+    return {"selected": selected, "membership": members, "excluded": splits.excluded(base, selected, held)}
 
 
 def export(selected: DataFrame, records: DataFrame) -> dict[str, DataFrame]:

@@ -177,19 +177,21 @@ def components_structure(spark: SparkSession, d: str) -> DataFrame:
     return _labels(spark, d, _structure_edges(spark, d))
 
 
+def _overlay_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Both families at once: what either grouping joins, one run of components joins."""
+    return edges.union_edges(_sequence_edges(spark, d), _structure_edges(spark, d))
+
+
 def components_overlay(spark: SparkSession, d: str) -> DataFrame:
-    """Two groupings at once: each given by its label edges."""
-    one = connected_components(_sequence_edges(spark, d)).select(F.col("id").alias("src"), F.col("component").alias("dst"))
-    two = connected_components(_structure_edges(spark, d)).select(F.col("id").alias("src"), F.col("component").alias("dst"))
-    return _labels(spark, d, edges.union_edges(one, two))
+    return _labels(spark, d, _overlay_edges(spark, d))
 
 
 def group_sizes_weights(spark: SparkSession, d: str) -> DataFrame:
     return rank.group_weights(_labels(spark, d, _sequence_edges(spark, d)))
 
 
-#: Test and valid groups held out: few enough for the smallest tables.
-_EVAL = (5, 5)
+#: Test and valid groups held out, as shares of the eligible ones.
+_EVAL = (0.1, 0.1)
 
 
 def _split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -214,11 +216,20 @@ def split_counts(spark: SparkSession, d: str) -> DataFrame:
     return _split(spark, d)[1].groupBy("split").agg(count_rows().alias("n"))
 
 
-def quality_split(spark: SparkSession, d: str) -> DataFrame:
-    """The split by completeness: only usable records, held-out groups labelled as a whole."""
-    r = Scratch(spark, "base").write(_annotated(spark, d).join(_labels(spark, d, _sequence_edges(spark, d)), "id"))
+def _quality_split(spark: SparkSession, d: str, e: DataFrame, name: str) -> DataFrame:
+    r = Scratch(spark, "base").write(_annotated(spark, d).join(_labels(spark, d, e), "id"))
     selected, held = splits.grouped_split(r, *_EVAL, quality.usable() & quality.evaluation_length(), rank.by_completeness(), quality.usable())
-    return splits.membership(r, selected, held, whole_groups=True)
+    return splits.weighted_membership(r, selected, held, name)
+
+
+def quality_split(spark: SparkSession, d: str) -> DataFrame:
+    """The split by completeness over sequence groups: only usable records, with sampling weights."""
+    return _quality_split(spark, d, _sequence_edges(spark, d), "sequence")
+
+
+def structure_split(spark: SparkSession, d: str) -> DataFrame:
+    """The same over the overlay of sequence and structure groups."""
+    return _quality_split(spark, d, _overlay_edges(spark, d), "structure")
 
 
 def _chronological(spark: SparkSession, d: str) -> DataFrame:
@@ -271,17 +282,17 @@ def _repair_start(spark: SparkSession, d: str) -> tuple[DataFrame, audit.RepairS
 
 
 def repair_round(spark: SparkSession, d: str) -> DataFrame:
-    """The splits after one repair round, without refilling test."""
+    """The splits after one repair round; test is refilled to its size before, or as far as unused groups go: larger tables have too few."""
     members, state = _repair_start(spark, d)
-    return audit.repair_round(_hits(spark, d), members, state, test_count=0).selected
+    return audit.repair_round(_hits(spark, d), members, state, partly=True).selected
 
 
 def repair_fixpoint(spark: SparkSession, d: str) -> DataFrame:
-    """Membership once no hit crosses splits; test is not refilled, so every round only removes."""
+    """Membership once no hit crosses splits; what refills test is audited in the next round."""
     members, state = _repair_start(spark, d)
     start = state.selected.filter("split != 'train'").join(members.select("id", "merged_group"), "id").select("merged_group").distinct()
     hits = Scratch(spark, "hits").write(_hits(spark, d).filter(quality.similarity_hit()))
-    state = audit.repair_to_fixpoint(lambda _: hits, members, state, test_count=0)
+    state = audit.repair_to_fixpoint(lambda _: hits, members, state, partly=True)
     return audit.repaired_membership(members, state, start)
 
 
@@ -394,7 +405,7 @@ def tsv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     exclusion_reason_counts, filter_totals, kept_records, formatted_metrics, pairing_full_outer, id_components, sequence_complexity, usable_filter, method_rollup, multivalue_mapping, ref_accession_fallback,
     exact_duplicate_groups, dedupe_argmin, group_representative, components_sequence, components_structure, components_overlay, group_sizes_weights, grouped_split, split_membership, split_excluded, split_counts,
-    quality_split, chronological_split, novelty_labels, key_translation_edges, hits_audit, cross_split_hits, repair_round, repair_fixpoint, residue_chain_rollup, download_reconcile, shard_assignment,
+    quality_split, structure_split, chronological_split, novelty_labels, key_translation_edges, hits_audit, cross_split_hits, repair_round, repair_fixpoint, residue_chain_rollup, download_reconcile, shard_assignment,
     split_validation, row_index_export, path_checksum, set_operations, sorted_limit, vector_neighbours_topk, sequence_similarity_audit, structure_similarity_topk, similarity_clusters, fasta_roundtrip, tsv_roundtrip, streamed_reason_counts,
     p3_found, p3_summary,
 )}

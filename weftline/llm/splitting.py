@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ids import canonical_id, entry_of, split_label
-from ..operators.components import connected_components
+from ..operators.components import number_vertices, star_components
 from ..session import Scratch, count_rows
 
 
+def expanded(frontier: DataFrame, adj: DataFrame) -> DataFrame:
+    """(v, label), once each: where the labels of a frontier (v, label) come to along its adjacency rows (v, w)."""
+    return frontier.join(adj, "v").select(F.col("w").alias("v"), "label").distinct()
+
+
 def frontier_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """(id, component) for every vertex of an undirected graph, by breadth-first search from many seeds at once.
 
@@ -17,13 +24,12 @@ def frontier_components(edges: DataFrame, src: str = "src", dst: str = "dst") ->
     smallest among their neighbours', so every component has one and none is far. In each round the frontier's
     labels go along its lists; a vertex reached first by several labels takes the smallest, and each two labels
     that meet at a vertex become an edge of a small graph over seeds. That graph, solved by stars, merges the
-    labels. The component's name is that of its smallest seed. A vertex with only a self edge is its own component;
-    nulls drop out; no edges give no rows.
+    labels. The component is the number of its smallest seed (ids are numbered in their order). A vertex with only a
+    self edge is its own component; nulls drop out; no edges give no rows.
     """
-    spark = edges.sparkSession
-    scratch = Scratch(spark, "frontier")
-    a, b = F.col(src), F.col(dst)
-    one = edges.filter(a.isNotNull() & b.isNotNull()).select(a.alias("v"), b.alias("w"))
+    scratch = Scratch(edges.sparkSession, "frontier")
+    vertices, numbered = number_vertices(scratch, edges, src, dst)
+    one = numbered.select(F.col("u").alias("v"), F.col("v").alias("w"))
     adj = scratch.write(one.unionByName(one.select(F.col("w").alias("v"), F.col("v").alias("w"))).distinct())
     order = lambda c: F.struct(F.xxhash64(c), F.col(c))
     seeds = adj.withColumn("mine", order("v")).withColumn("its", order("w")).groupBy("v").agg(F.min("mine").alias("mine"), F.min("its").alias("its")).filter("mine <= its").select("v", F.col("v").alias("label"))
@@ -33,22 +39,19 @@ def frontier_components(edges: DataFrame, src: str = "src", dst: str = "dst") ->
         known = parts[0]
         for t in parts[1:]:
             known = known.unionByName(t)
-        sent = frontier.join(adj, "v").select(F.col("w").alias("v"), F.col("label").alias("sent")).distinct()
-        at = sent.groupBy("v").agg(F.min("sent").alias("low")).join(known.select("v", F.col("label").alias("old")), "v", "left")
+        sent = expanded(frontier, adj)
+        at = sent.groupBy("v").agg(F.min("label").alias("low")).join(known.select("v", F.col("label").alias("old")), "v", "left")
         held = scratch.write(at)
-        meet = sent.join(held, "v").select(F.coalesce("old", "low").alias("src"), F.col("sent").alias("dst")).filter("src != dst").distinct()
+        meet = sent.join(held, "v").select(F.coalesce("old", "low").alias("u"), F.col("label").alias("v")).filter("u != v").distinct()
         frontier, seen = scratch.write(held.filter("old is null").select("v", F.col("low").alias("label")), n=count_rows())
         meets.append(scratch.write(meet))
         scratch.drop(held)
         parts.append(frontier)
         n = seen["n"]
-    met, labels = meets[0] if meets else labels.select(F.col("v").alias("src"), F.col("label").alias("dst")), parts[0]
-    for t in meets[1:]:
-        met = met.unionByName(t)
-    for t in parts[1:]:
-        labels = labels.unionByName(t)
-    merged = connected_components(met).select(F.col("id").alias("label"), "component")
-    return scratch.write(labels.join(merged, "label", "left").select(F.col("v").alias("id"), F.coalesce("component", "label").alias("component")))
+    labels, met = reduce(DataFrame.unionByName, parts), reduce(DataFrame.unionByName, meets) if meets else adj.select(F.col("v").alias("u"), F.col("w").alias("v")).limit(0)
+    merged = star_components(scratch, met).select(F.col("n").alias("label"), "root")
+    rooted = labels.join(merged, "label", "left").select(F.col("v").alias("n"), F.coalesce("root", "label").alias("root"))
+    return scratch.write(vertices.join(rooted, "n").select("id", F.col("root").alias("component")))
 
 
 def membership_keys(membership: DataFrame) -> DataFrame:
@@ -74,19 +77,21 @@ def related_components(ids: DataFrame, keys: DataFrame) -> DataFrame:
 def split_conflicts(membership: DataFrame) -> DataFrame:
     """(key_field, key_value) of keys whose delivered rows stand in more than one of train, valid and test.
 
-    Rows that share a key lie in one component, so a key in two splits lies in a component in two splits: the
-    components found by breadth-first search name the candidates, and each key of those is then counted on its own.
-    Rows without id or with a label that names no split count nowhere, missing groups are no key, repeated rows change
-    nothing, and an empty table has no conflicts.
+    The delivered labels are held against the components: a component whose rows were all put in one split has no
+    conflict. In the others the delivered labels are the seeds of one more expansion, from rows to their keys; the
+    keys at which two labels meet are the conflicts. Rows without id or with a label that names no split count
+    nowhere, missing groups are no key, repeated rows change nothing, and an empty table has no conflicts.
     """
     keys = membership_keys(membership)
     comp = related_components(keys, keys)
-    bit = F.when(F.col("label") == "train", 1).when(F.col("label") == "valid", 2).when(F.col("label") == "test", 4).otherwise(0)
-    slim = keys.filter("label is not null").select("pdb_id", "merged_group", bit.alias("bit")).distinct()
+    slim = Scratch(membership.sparkSession, "delivered").write(keys.filter("label is not null").select("pdb_id", "merged_group", "label").distinct())
     placed = slim.withColumn("vertex", _vertex("pdb_id")).join(comp.select(F.col("id").alias("vertex"), "component"), "vertex")
-    mixed = placed.groupBy("component").agg(F.bit_or("bit").alias("bits")).filter(F.bit_count("bits") > 1).select("component")
-    rows = placed.join(mixed, "component", "left_semi").select(F.explode(F.array(F.struct(F.lit("pdb_id").alias("key_field"), F.col("pdb_id").alias("key_value")), F.struct(F.lit("merged_group").alias("key_field"), F.col("merged_group").alias("key_value")))).alias("k"), "bit").select("k.*", "bit")
-    return rows.filter("key_value is not null").groupBy("key_field", "key_value").agg(F.bit_or("bit").alias("bits")).filter(F.bit_count("bits") > 1).select("key_field", "key_value")
+    mixed = placed.groupBy("component").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a != b").select("component")
+    held = placed.join(mixed, "component", "left_semi").select(F.struct("pdb_id", "merged_group").alias("v"), "label")
+    ends = F.array(*(F.struct(F.lit(c).alias("key_field"), F.col(f"v.{c}").alias("key_value")) for c in ("pdb_id", "merged_group")))
+    adj = held.select("v").distinct().select("v", F.explode(ends).alias("w")).filter("w.key_value is not null")
+    met = expanded(held, adj).groupBy("v").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a != b")
+    return met.select("v.key_field", "v.key_value")
 
 
 def grouped_split(records: DataFrame, membership: DataFrame, shares: tuple[float, float, float] = (0.8, 0.1, 0.1), seed: int = 42, buckets_hex: int = 3) -> DataFrame:

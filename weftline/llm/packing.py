@@ -95,8 +95,8 @@ def pack(items: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, cluste
     """(key, piece, n_pieces, n_tokens, container): every item in containers of `capacity`, as tight as best fit makes them.
 
     Items carry n_tokens and source. One that exceeds the capacity is cut into full pieces and a rest, and no other
-    is cut. Two items of one cluster never share a container, nor do two of a pair of sources in `exclusive` (at most
-    63 names in all, compared as given). Cut pieces of one item are not in conflict.
+    is cut. Two items of one cluster never share a container, nor do two of a pair of sources in `exclusive` (compared as
+    given). Cut pieces of one item are not in conflict.
 
     Items go by hash into shards of about `shard_items`, each packed on its own, a task taking one or more shards in turn: largest first into the compatible
     bin with the smallest residual that takes it. Containers that are less than `well_filled` full are opened once
@@ -137,3 +137,9 @@ def pack(items: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, cluste
     second = packed(again, max(1, -(-seen["n"] // shard_items)), 2)
     done = first.join(loose, "container", "left_anti").unionByName(second)
     return done.select(key, "piece", "n_pieces", "n_tokens", "container")
+
+
+def cut_items(packed: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key) of the items whose pieces stand in more than one container. Rows that repeat a key are not its pieces."""
+    per = packed.groupBy(key).agg(F.count_distinct("piece").alias("pieces"), F.count_distinct("container").alias("containers"))
+    return per.filter("pieces > 1 and containers > 1").select(key)

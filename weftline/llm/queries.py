@@ -60,16 +60,21 @@ def p5_groups(spark: SparkSession, d: str) -> DataFrame:
     return ids.join(_groups(spark, d), "id", "left").select("id", F.coalesce("group_id", "id").alias("group_id"))
 
 
+#: Sources kept apart in containers, without case and separators: what was mirrored, and the shelf articles are taken from.
+_APART = (("mirrordump", "openshelf"),)
+
+
 def _packed(spark: SparkSession, d: str) -> DataFrame:
-    docs = _read(spark, d, "documents").select("doc_id", "paper_id", "source", "text")
-    return packing.pack(tokens.with_tokens(docs))
+    docs = _read(spark, d, "documents").select("doc_id", "paper_id", tokens.source_key("source").alias("source"), "text")
+    return packing.pack(tokens.with_tokens(docs), exclusive=_APART)
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return _packed(spark, d).filter("n_pieces > 1").select("doc_id").distinct()
+    return packing.cut_items(_packed(spark, d))
 
 
 def p6_containers(spark: SparkSession, d: str) -> DataFrame:
+    """Every text with its container; no two versions of a paper, and no two of a pair of _APART, in one."""
     return _packed(spark, d)
 
 

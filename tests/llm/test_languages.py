@@ -43,6 +43,28 @@ def test_forward_sums_all_segmentations():
     assert np.isfinite(lattice.score("ж" * 500)).all()
 
 
+def test_long_words_are_summed_whole():
+    rnd = np.random.default_rng(53)
+    pieces = ["▁a", "▁", "a", "b", "ab", "ba", "bab", "▁ab"]
+    lattice = languages.Lattice(pieces, rnd.dirichlet(np.ones(len(pieces)), size=2).T)
+    word = "".join(rnd.choice(["a", "b"], size=60))
+    a = np.zeros((62, 2))
+    a[0] = 1
+    for i in range(61):
+        for j in range(i + 1, 62):
+            if (k := lattice.index.get(("▁" + word)[i:j])) is not None:
+                a[j] += a[i] * lattice.p[k]
+    assert np.allclose(lattice.score(word), np.log(a[-1]))
+    long, short = {}, {}
+    lattice.expected(word, np.array([2.0, 3.0]), long)
+    languages._PLAIN, held = 100, languages._PLAIN
+    try:
+        lattice.expected(word, np.array([2.0, 3.0]), short)
+    finally:
+        languages._PLAIN = held
+    assert long.keys() == short.keys() and all(np.allclose(long[k], short[k]) for k in long)
+
+
 def article(body, title="Nobody cares"):
     return "\\documentclass{article}\n\\newcommand{\\fw}{for words}\n\\title{" + title + "}\n\\begin{document}\n\\maketitle\n\\section{Ein Titel hier}\n" + body + "\n\\begin{thebibliography}{9}\n\\bibitem{a} A. Who, \\emph{Die Bibliothek schließt um sechs}.\n\\end{thebibliography}\n\\end{document}\nafter the end"
 
@@ -54,6 +76,7 @@ def article(body, title="Nobody cares"):
     ("A ``quoted term'' here. He said ``One is here. Two is there.'' Yes.", "A here. He said ``One is here. Two is there.'' Yes."),
     ("50\\% of it \\fw now", "50 of it for words now"),
     ("Before.\n\\[ a = b \\]\n$$ c $$\n\\begin{equation}\nx\n\\end{equation}\nAfter\\footnote{aside}.", "Before. After."),
+    ("A \"quoted " + "term " * 80 + "\" here. It said \"One is here. " + "Two is there. " * 40 + "\" Yes \"open.", "A here. It said \"One is here. " + "Two is there. " * 40 + "\" Yes \"open."),
     ("broken $math never ends\n\nnext one \\textit{open", "broken $math never ends next one open"),
 ])
 def test_prose(markup, text):
@@ -110,10 +133,30 @@ def test_long_text(spark, model):
 
 
 def test_labels(spark):
-    names = [("en_US", "en"), (" Deutsch", "de"), ("fre", "fr"), ("pt-BR", "pt"), ("xx", None), ("", None), (None, None), ("Русский", "ru"), ("und", None)]
+    names = [("en_US", "en"), (" Deutsch", "de"), ("fre", "fr"), ("pt-BR", "pt"), ("xx", "xx"), ("nl-BE", "nl"), ("", None), (None, None), ("Русский", "ru"), ("und", "und")]
     df = spark.createDataFrame(names, "l string, want string")
     assert df.filter(~languages.named_language("l").eqNullSafe(F.col("want"))).count() == 0
 
 
 def test_model_is_a_distribution(model):
     assert np.allclose(model.p.sum(axis=0), 1) and (model.p > 0).all() and math.isfinite(np.log(model.p).sum())
+
+
+def test_places_cut_the_source(spark, model):
+    de, ru = " ".join(SENTENCES["de"][:2]), " ".join(SENTENCES["ru"][2:4])
+    marked = de.replace("ö", '\\"o').replace("ß", "{\\ss}")
+    text = article("Intro $x<y$ % gone\n" + " ".join(SENTENCES["en"][:3]) + " \\textbf{" + marked + "} \\cite{a}\n" + ru + "\n\\begin{figure}\\caption{" + " ".join(SENTENCES["en"][3:]) + "}\\end{figure}")
+    df = spark.createDataFrame([(1, text, "en"), (2, None, None), (3, ru, "ru")], "doc_id long, text string, lang string")
+    rows = languages.segments(df, model, places=True).orderBy("doc_id", "segment").collect()
+    cut = [(r["doc_id"], r["language"], (text if r["doc_id"] == 1 else ru)[r["start"] : r["end"]]) for r in rows if r["language"]]
+    assert [c[:2] for c in cut] == [(1, "en"), (1, "de"), (1, "ru"), (1, "en"), (3, "ru")]
+    assert cut[0][2].endswith(SENTENCES["en"][2]) and cut[1][2] == marked and cut[2][2] == ru and cut[3][2] == " ".join(SENTENCES["en"][3:]) and cut[4][2] == ru
+    assert all(r["start"] is None for r in rows if r["language"] is None)
+
+
+def test_a_language_without_known_names(spark):
+    nl = ["De bibliotheek gaat om negen uur open.", "Zij vroeg of de trein al vertrokken was.", "Niemand wist nog wie de brief geschreven had.", "Wij liepen een uur langs de rivier."]
+    ref = [(k, s) for k, v in SENTENCES.items() for s in v] + [("nl", s) for s in nl]
+    model = languages.fit(spark.createDataFrame([], "doc_id long, text string, lang string"), spark.createDataFrame(ref, "lang string, sentence string"))
+    assert "nl" in model.languages
+    assert found(spark, model, [" ".join(nl), " ".join(nl), " ".join(SENTENCES["de"])], {0: "NL_be", 1: "de", 2: "nl"})[1] == {(1, "nl"), (2, "de")}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import unicodedata
 import uuid
 from collections import Counter
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch, count_rows
-from .prose import BREAK, prose
+from .prose import BREAK, Placed, prose, typeset
 from .tokens import TOKENIZERS
 
 #: What a label may call a language.
@@ -30,16 +31,20 @@ NAMES = {
 }
 PIECES = "piece_bpe_32k.model"
 START = "▁"
-#: Letters scored as one word, word scores kept, words summed at once: bounds on memory.
-_LONGEST, _KEPT, _AT_ONCE = 32, 150_000, 200_000
+#: Word scores kept, words summed at once: bounds on memory.
+_KEPT, _AT_ONCE = 150_000, 200_000
+#: Longer words are summed in logarithms, which cannot underflow.
+_PLAIN = 32
 _END, _CLOSE = (".", "!", "?", "…"), "\"')]}»”’“"
+_CHUNK = re.compile(r"\S+")
 
 
 def named_language(label: Column | str) -> Column:
-    """The two-letter code of the language a label names, region, case and blanks aside; null where it names none known."""
+    """The code of the language a label names, region, case and blanks aside: the two-letter one for the names above, else
+    the label itself; null for blank and missing labels."""
     c = F.lower(F.trim(F.col(label) if isinstance(label, str) else label))
     bare = F.trim(F.regexp_replace(c, r"[-_(].*$", ""))
-    out = F.lit(None).cast("string")
+    out = F.nullif(bare, F.lit(""))
     for code, names in NAMES.items():
         out = F.when(bare.isin(*names), code).otherwise(out)
     return out
@@ -80,38 +85,61 @@ class Lattice:
                 a.append((i + 1, -1))  # a sign the vocabulary lacks costs all languages the same
         return arcs
 
-    def _parts(self, word: str) -> list[str]:
-        s = START + word
-        return [s[i : i + _LONGEST] for i in range(0, len(s), _LONGEST)]
+    def _logs(self) -> tuple[np.ndarray, np.ndarray]:
+        if not hasattr(self, "log_p"):
+            with np.errstate(divide="ignore"):
+                self.log_p, self.log_floor = np.log(self.p), np.log(self.floor)
+        return self.log_p, self.log_floor
 
     def score(self, word: str) -> np.ndarray:
         """Natural log of the word's probability by language."""
-        total = np.zeros(self.p.shape[1])
-        for s in self._parts(word):
-            a = np.zeros((len(s) + 1, self.p.shape[1]))
-            a[0] = 1
-            for i, arcs in enumerate(self._arcs(s)):
-                for j, k in arcs:
-                    a[j] += a[i] * (self.p[k] if k >= 0 else self.floor)
-            total += np.log(a[-1])
-        return total
+        s = START + word
+        if len(s) > _PLAIN:
+            return self._forward(self._arcs(s))[-1]
+        a = np.zeros((len(s) + 1, self.p.shape[1]))
+        a[0] = 1
+        for i, arcs in enumerate(self._arcs(s)):
+            for j, k in arcs:
+                a[j] += a[i] * (self.p[k] if k >= 0 else self.floor)
+        return np.log(a[-1])
+
+    def _forward(self, all_arcs: list) -> np.ndarray:
+        log_p, log_floor = self._logs()
+        a = np.full((len(all_arcs) + 1, self.p.shape[1]), -np.inf)
+        a[0] = 0
+        for i, arcs in enumerate(all_arcs):
+            for j, k in arcs:
+                np.logaddexp(a[j], a[i] + (log_p[k] if k >= 0 else log_floor), out=a[j])
+        return a
 
     def expected(self, word: str, weights: np.ndarray, counts: dict[int, np.ndarray]) -> None:
         """Adds the expected uses of each piece in so many occurrences of the word by language."""
-        for s in self._parts(word):
-            arcs, n = self._arcs(s), len(s)
-            a, b = np.zeros((n + 1, self.p.shape[1])), np.zeros((n + 1, self.p.shape[1]))
-            a[0] = b[n] = 1
-            for i in range(n):
-                for j, k in arcs[i]:
-                    a[j] += a[i] * (self.p[k] if k >= 0 else self.floor)
+        s = START + word
+        arcs, n = self._arcs(s), len(s)
+        if n > _PLAIN:
+            log_p, log_floor = self._logs()
+            a, b = self._forward(arcs), np.full((n + 1, self.p.shape[1]), -np.inf)
+            b[n] = 0
             for i in range(n - 1, -1, -1):
                 for j, k in arcs[i]:
-                    b[i] += b[j] * (self.p[k] if k >= 0 else self.floor)
+                    np.logaddexp(b[i], b[j] + (log_p[k] if k >= 0 else log_floor), out=b[i])
             for i in range(n):
                 for j, k in arcs[i]:
                     if k >= 0:
-                        counts[k] = counts.get(k, 0) + weights * a[i] * self.p[k] * b[j] / a[n]
+                        counts[k] = counts.get(k, 0) + weights * np.exp(a[i] + log_p[k] + b[j] - a[n])
+            return
+        a, b = np.zeros((n + 1, self.p.shape[1])), np.zeros((n + 1, self.p.shape[1]))
+        a[0] = b[n] = 1
+        for i in range(n):
+            for j, k in arcs[i]:
+                a[j] += a[i] * (self.p[k] if k >= 0 else self.floor)
+        for i in range(n - 1, -1, -1):
+            for j, k in arcs[i]:
+                b[i] += b[j] * (self.p[k] if k >= 0 else self.floor)
+        for i in range(n):
+            for j, k in arcs[i]:
+                if k >= 0:
+                    counts[k] = counts.get(k, 0) + weights * a[i] * self.p[k] * b[j] / a[n]
 
 
 class Scorer:
@@ -135,29 +163,33 @@ class Scorer:
             self.seen[chunk] = len(self.rows) - 1
         return len(self.rows) - 1
 
-    def sentences(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """For each sentence of all texts: text number, flow number, scores, words, whether it is whole."""
+    def sentences(self, texts: list[str], placed: bool = False) -> tuple[np.ndarray, ...]:
+        """For each sentence of all texts: text number, flow number, scores, words, whether it is whole; placed: also its start
+        and end in the text."""
         if len(self.seen) > _KEPT:
             self.clear()
-        seen, n_flow, held, out = self.seen, 0, ([], [], []), []
+        seen, n_flow, held, out = self.seen, 0, ([], [], [], [], []), []
         for t, text in enumerate(texts):
-            for flow in prose(text).split(BREAK):
-                chunks = flow.split()
+            flows = _placed_chunks(text) if placed else ((flow.split(), None, None) for flow in prose(text).split(BREAK))
+            for chunks, starts, ends in flows:
                 if chunks:
                     held[0].extend([seen[c] if c in seen else self._row(c) for c in chunks])
                     held[1].append(np.full(len(chunks), t))
                     held[2].append(np.full(len(chunks), n_flow))
+                    if placed:
+                        held[3].append(starts)
+                        held[4].append(ends)
                     n_flow += 1
                 if len(held[0]) > _AT_ONCE:
                     out.append(self._sums(*held))
-                    held = ([], [], [])
+                    held = ([], [], [], [], [])
         out.append(self._sums(*held))
         return tuple(np.concatenate(x) for x in zip(*out))
 
-    def _sums(self, idx: list[int], text_of: list, flow_of: list) -> tuple:
+    def _sums(self, idx: list[int], text_of: list, flow_of: list, starts_of: list, ends_of: list) -> tuple:
         if not idx:
             z = np.zeros(0, dtype=int)
-            return z, z, np.zeros((0, self.n)), np.zeros(0), z.astype(bool)
+            return z, z, np.zeros((0, self.n)), np.zeros(0), z.astype(bool), z, z
         if len(self.table) < len(self.rows):
             self.table = np.vstack([self.table, np.array(self.rows[len(self.table) :])])
         x, text_of, flow_of = self.table[np.array(idx)], np.concatenate(text_of), np.concatenate(flow_of)
@@ -166,7 +198,25 @@ class Scorer:
         last = whole | cut
         starts = np.append(0, np.flatnonzero(last)[:-1] + 1)
         sums = np.add.reduceat(x, starts, axis=0)
-        return text_of[starts], flow_of[starts], sums[:, : self.n], sums[:, self.n], whole[last] & (x[starts, -1] > 0)
+        if starts_of:
+            places = np.concatenate(starts_of)[starts], np.concatenate(ends_of)[last]
+        else:
+            places = np.zeros(len(starts), dtype=int), np.zeros(len(starts), dtype=int)
+        return text_of[starts], flow_of[starts], sums[:, : self.n], sums[:, self.n], whole[last] & (x[starts, -1] > 0), *places
+
+
+def _placed_chunks(text: str | None) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+    """The chunks of each flow with their starts and ends in the text."""
+    if not text:
+        return
+    t = typeset(Placed(text))
+    at = 0
+    for flow in t.text.split(BREAK):
+        spans = [m.span() for m in _CHUNK.finditer(flow)]
+        if spans:
+            a, b = np.array(spans).T + at
+            yield [flow[x:y] for x, y in spans], t.starts[a], t.ends[b - 1]
+        at += len(flow) + 1
 
 
 _scorers: dict[str, Scorer] = {}
@@ -298,9 +348,10 @@ def _judge(scorer: Scorer, chunks: list[str]) -> tuple[list[str], int, bool]:
 
 
 SEGMENTS = "language string, confidence double, n_sentences int, n_words int"
+PLACES = "start int, end int"
 
 
-def segments(documents: DataFrame, model: Model, key: str = "doc_id", label: str = "lang", sure: float = 0.99, least_words: int = 2) -> DataFrame:
+def segments(documents: DataFrame, model: Model, key: str = "doc_id", label: str = "lang", sure: float = 0.99, least_words: int = 2, places: bool = False) -> DataFrame:
     """(key, label, segment, language, confidence, n_sentences, n_words): stretches of one language, in order.
 
     Sentences of the prose (see `prose`) are scored by summing over all segmentations of their words; the posterior
@@ -309,26 +360,31 @@ def segments(documents: DataFrame, model: Model, key: str = "doc_id", label: str
     flow breaks (headings, captions, bibliographies). n_sentences counts the whole sure sentences of a stretch, confidence is their
     mean, weighted by words. Texts without prose, empty and null texts, and all texts under a model
     of no language, have one segment without language. Repeated keys are documents of their own.
+
+    With places also (start, end): where the stretch's sure sentences begin and end in the text as given, markup counted,
+    in signs from 0, the end not included; null without a language.
     """
     shared, languages = model.shared, model.languages
+    columns = f"{SEGMENTS}, {PLACES}" if places else SEGMENTS
     if not languages:
         none = lambda kind: F.lit(None).cast(kind)
-        return documents.select(key, label, F.lit(1).alias("segment"), none("string").alias("language"), none("double").alias("confidence"), F.lit(0).alias("n_sentences"), F.lit(0).alias("n_words"))
+        more = [none("int").alias("start"), none("int").alias("end")] if places else []
+        return documents.select(key, label, F.lit(1).alias("segment"), none("string").alias("language"), none("double").alias("confidence"), F.lit(0).alias("n_sentences"), F.lit(0).alias("n_words"), *more)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = _scorer(shared)
         for pdf in batches:
             for at in range(0, len(pdf), 500):
                 part = pdf.iloc[at : at + 500]
-                yield _stretches(part, scorer, key, label, languages, sure, least_words)
+                yield _stretches(part, scorer, key, label, languages, sure, least_words, places)
 
     kind = dict(documents.dtypes)
-    return documents.select(key, label, "text").mapInPandas(run, f"{key} {kind[key]}, {label} string, segment int, {SEGMENTS}")
+    return documents.select(key, label, "text").mapInPandas(run, f"{key} {kind[key]}, {label} string, segment int, {columns}")
 
 
-def _stretches(pdf: pd.DataFrame, scorer: Scorer, key: str, label: str, languages: list[str], sure: float, least_words: int) -> pd.DataFrame:
-    text_of, flow_of, scores, words, whole = scorer.sentences(pdf["text"].tolist())
-    rows = pd.DataFrame({"t": text_of, "flow": flow_of, "words": words, "whole": whole})
+def _stretches(pdf: pd.DataFrame, scorer: Scorer, key: str, label: str, languages: list[str], sure: float, least_words: int, places: bool) -> pd.DataFrame:
+    text_of, flow_of, scores, words, whole, start, end = scorer.sentences(pdf["text"].tolist(), placed=places)
+    rows = pd.DataFrame({"t": text_of, "flow": flow_of, "words": words, "whole": whole, "start": start, "end": end})
     if len(rows):
         post = _posterior(scores)
         rows["best"], rows["conf"] = post.argmax(axis=1), post.max(axis=1)
@@ -337,14 +393,15 @@ def _stretches(pdf: pd.DataFrame, scorer: Scorer, key: str, label: str, language
     rows = rows[(rows["conf"] >= sure) & (rows["words"] >= least_words)]
     new = (rows["flow"] != rows["flow"].shift()) | (rows["best"] != rows["best"].shift())
     rows = rows.assign(run=new.cumsum(), cw=rows["conf"] * rows["words"])
-    runs = rows.groupby("run").agg(t=("t", "first"), best=("best", "first"), cw=("cw", "sum"), n_words=("words", "sum"), n_sentences=("whole", "sum")).reset_index(drop=True)
+    runs = rows.groupby("run").agg(t=("t", "first"), best=("best", "first"), cw=("cw", "sum"), n_words=("words", "sum"), n_sentences=("whole", "sum"), start=("start", "min"), end=("end", "max")).reset_index(drop=True)
     runs["segment"] = runs.groupby("t").cumcount() + 1
     out = pdf[[key, label]].reset_index(drop=True).merge(runs, left_index=True, right_on="t", how="left")
-    return pd.DataFrame({
+    found = pd.DataFrame({
         key: out[key].to_numpy(), label: out[label].to_numpy(), "segment": out["segment"].fillna(1).astype("int32").to_numpy(),
         "language": [languages[int(b)] if b == b else None for b in out["best"]],
         "confidence": (out["cw"] / out["n_words"]).to_numpy(), "n_sentences": out["n_sentences"].fillna(0).astype("int32").to_numpy(), "n_words": out["n_words"].fillna(0).astype("int32").to_numpy(),
     })
+    return found.assign(**{c: out[c].astype("Int32").reset_index(drop=True) for c in ("start", "end")}) if places else found
 
 
 def document_languages(parts: DataFrame, key: str = "doc_id", label: str = "lang") -> DataFrame:

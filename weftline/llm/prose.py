@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
+
 #: Accent commands and the combining marks they set.
 ACCENTS = {"'": "\u0301", "`": "\u0300", "^": "\u0302", '"': "\u0308", "~": "\u0303", "=": "\u0304", ".": "\u0307", "c": "\u0327", "v": "\u030c", "u": "\u0306", "H": "\u030b", "r": "\u030a", "k": "\u0328"}
 #: Letters with a name.
@@ -28,9 +30,79 @@ _ENVIRONMENT = re.compile(r"\\(begin|end)\s*\{[^}]*\}(?:\[[^\]]*\])?|\\(?:item|m
 _ACCENT = re.compile(r"\\(?:([\"'`^~=.])\s*(?:\{\s*(?:\\([ij])(?![A-Za-z])\s*|([^\W\d_]))\s*\}|\\([ij])(?![A-Za-z])\s?|([^\W\d_]))|([cvuHrk])\s*\{\s*(?:\\([ij])\s*|([^\W\d_]))\s*\}|([cvuHrk])\s+([^\W\d_]))")
 _LETTER = re.compile(r"\\(ss|ae|AE|oe|OE|aa|AA|o|O|l|L|i|j)(?![A-Za-z])(?:\{\}|\s)?")
 _COMMAND = re.compile(r"\\[A-Za-z]+\*?\s?|\\.")
+#: What may stand in a quotation: it ends with its paragraph at the latest.
+_WITHIN = r"[^{0}\n\x00]*(?:\n(?![ \t]*\n)[^{0}\n\x00]*)*"
 #: Opening and closing marks of quotations.
-_QUOTED = {"``": re.compile(r"``[^`]{1,300}?''"), "„": re.compile(r"„[^“”]{1,300}?[“”]"), "«": re.compile(r"«[^»]{1,300}?»"), "“": re.compile(r"“[^”]{1,300}?”"), '"': re.compile(r"\"(?<!\w\")[^\"]{1,300}?\"")}
+_QUOTED = {
+    "``": re.compile(r"``(?:[^`'\n\x00]|'(?!')|\n(?![ \t]*\n))+''"),
+    "„": re.compile("„" + _WITHIN.format("“”") + "[“”]"),
+    "«": re.compile("«" + _WITHIN.format("»") + "»"),
+    "“": re.compile("“" + _WITHIN.format("”") + "”"),
+    '"': re.compile(r"\"(?<!\w\")" + _WITHIN.format('"') + '"'),
+}
 _SENTENCES = re.compile(r"[.!?]\s+\S.*[.!?]\s*\S*$", re.S)
+_BRACES, _TIE, _EMPTY = re.compile(r"[{}]"), re.compile("~"), re.compile(r"\[\]")
+
+
+class Plain:
+    """A text under substitution."""
+
+    def __init__(self, text: str):
+        self.text = text
+
+    def sub(self, pattern: re.Pattern, new="") -> None:
+        self.text = pattern.sub(new, self.text)
+
+    def cut(self, a: int, b: int) -> None:
+        self.text = self.text[a:b]
+
+    def take(self, pattern: re.Pattern) -> list:
+        """Removes the matches, leaves BREAK in their place and returns their first groups."""
+        found = pattern.findall(self.text)
+        self.sub(pattern, BREAK)
+        return found
+
+    def add(self, parts: list) -> None:
+        self.text += "".join(BREAK + p for p in parts)
+
+
+class Placed(Plain):
+    """The same with each sign's place in the source: `starts` and `ends`, counted in signs, the end not included."""
+
+    def __init__(self, text: str):
+        super().__init__(text)
+        self.starts = np.arange(len(text))
+        self.ends = self.starts + 1
+
+    def sub(self, pattern: re.Pattern, new="") -> None:
+        text, at, out, starts, ends = self.text, 0, [], [], []
+        for m in pattern.finditer(text):
+            a, b = m.span()
+            put = new(m) if callable(new) else new
+            if put == m[0]:
+                continue
+            out += text[at:a], put
+            starts += self.starts[at:a], np.full(len(put), self.starts[a])
+            ends += self.ends[at:a], np.full(len(put), self.ends[b - 1])
+            at = b
+        if out:
+            self.text = "".join([*out, text[at:]])
+            self.starts, self.ends = np.concatenate([*starts, self.starts[at:]]), np.concatenate([*ends, self.ends[at:]])
+
+    def cut(self, a: int, b: int) -> None:
+        super().cut(a, b)
+        self.starts, self.ends = self.starts[a:b], self.ends[a:b]
+
+    def take(self, pattern: re.Pattern) -> list:
+        found = [(m[1], self.starts[slice(*m.span(1))], self.ends[slice(*m.span(1))]) for m in pattern.finditer(self.text)]
+        self.sub(pattern, BREAK)
+        return found
+
+    def add(self, parts: list) -> None:
+        for text, starts, ends in parts:
+            mark = ends[-1:] if len(ends) else self.ends[-1:]
+            self.text += BREAK[: len(mark)] + text
+            self.starts, self.ends = np.concatenate([self.starts, mark, starts]), np.concatenate([self.ends, mark, ends])
 
 
 def _accent(m: re.Match) -> str:
@@ -46,54 +118,62 @@ def _quoted(m: re.Match) -> str:
     return m[0] if _SENTENCES.search(m[0]) else " "
 
 
-def _without_terms(text: str) -> str:
+def _without_terms(t: Plain) -> Plain:
     for mark, pattern in _QUOTED.items():
-        if mark in text:
-            text = pattern.sub(_quoted, text)
-    return text
+        if mark in t.text:
+            t.sub(pattern, _quoted)
+    return t
 
 
-def prose(text: str | None) -> str:
-    """Running text with BREAK where headings, captions and bibliographies cut the flow. Formulas are left out.
+def typeset(t: Plain) -> Plain:
+    """The running text of t, which is changed, with BREAK where headings, captions and bibliographies cut the flow. Formulas are left out.
 
     Comments, hidden drafts, preambles, bibliographies, headings, quoted terms and footnote marks go; captions are
     parts of their own at the end; accents in markup become letters; macros that stand for words are replaced.
-    Broken markup keeps what cannot be told from text. Null gives "".
+    Broken markup keeps what cannot be told from text.
     """
-    if not text:
-        return ""
-    if "%" in text:
-        text = _COMMENT.sub("", _COMMENT_LINE.sub("", text))
-    if "\\" not in text and "$" not in text:
-        return _without_terms(text)
-    if "\\iffalse" in text or "{comment}" in text:
-        text = _HIDDEN.sub(" ", text)
-    at = text.find("\\begin{document}")
-    head, body = (text[:at], text[at + 16 :]) if at >= 0 else ("", text)
-    if (end := body.find("\\end{document}")) >= 0:
-        body = body[:end]
-    if "\\bibitem" in body or "{thebibliography}" in body:
-        body = _BIBLIOGRAPHY.sub(BREAK, body)
-    for a, x, b, y in _MACRO.findall(head or body):
-        if (name := a or b) and " " in (words := x or y) and "\\" + name in body:
-            body = re.sub(r"\\" + name + r"(?![A-Za-z])\s?", lambda _, w=words: w + " ", body)
+    if "%" in t.text:
+        t.sub(_COMMENT_LINE)
+        t.sub(_COMMENT)
+    if "\\" not in t.text and "$" not in t.text:
+        return _without_terms(t)
+    if "\\iffalse" in t.text or "{comment}" in t.text:
+        t.sub(_HIDDEN, " ")
+    head, at = "", t.text.find("\\begin{document}")
+    if at >= 0:
+        head = t.text[:at]
+        t.cut(at + 16, len(t.text))
+    if (end := t.text.find("\\end{document}")) >= 0:
+        t.cut(0, end)
+    if "\\bibitem" in t.text or "{thebibliography}" in t.text:
+        t.sub(_BIBLIOGRAPHY, BREAK)
+    for a, x, b, y in _MACRO.findall(head or t.text):
+        if (name := a or b) and " " in (words := x or y) and "\\" + name in t.text:
+            t.sub(re.compile(r"\\" + name + r"(?![A-Za-z])\s?"), lambda _, w=words: w + " ")
     if not head:
-        body = _DEFINITION.sub("", body)
-    body = _DISPLAY.sub(" ", body)
-    if "$" in body:
-        body = _INLINE.sub(" ", body)
-    if "\\(" in body:
-        body = _PAREN.sub(" ", body)
-    tail = []
-    if "\\caption" in body:
-        tail = _CAPTION.findall(body)
-        body = _CAPTION.sub(BREAK, body)
-    if "\\footnote" in body:
-        body = _ASIDE.sub("", body)
-    body = _HEADING.sub(BREAK, body)
-    if tail:
-        body += BREAK + BREAK.join(tail)
-    body = _ENVIRONMENT.sub(" ", _DROP.sub("", body))
-    if "\\" in body:
-        body = _COMMAND.sub(" ", _LETTER.sub(lambda m: LETTERS[m[1]], _ACCENT.sub(_accent, body)))
-    return _without_terms(body.replace("{", "").replace("}", "").replace("~", " ").replace("[]", ""))
+        t.sub(_DEFINITION)
+    t.sub(_DISPLAY, " ")
+    if "$" in t.text:
+        t.sub(_INLINE, " ")
+    if "\\(" in t.text:
+        t.sub(_PAREN, " ")
+    tail = t.take(_CAPTION) if "\\caption" in t.text else []
+    if "\\footnote" in t.text:
+        t.sub(_ASIDE)
+    t.sub(_HEADING, BREAK)
+    t.add(tail)
+    t.sub(_DROP)
+    t.sub(_ENVIRONMENT, " ")
+    if "\\" in t.text:
+        t.sub(_ACCENT, _accent)
+        t.sub(_LETTER, lambda m: LETTERS[m[1]])
+        t.sub(_COMMAND, " ")
+    t.sub(_BRACES)
+    t.sub(_TIE, " ")
+    t.sub(_EMPTY)
+    return _without_terms(t)
+
+
+def prose(text: str | None) -> str:
+    """The running text (see typeset); null gives ""."""
+    return typeset(Plain(text)).text if text else ""

@@ -95,9 +95,9 @@ def p7_mix(spark: SparkSession, d: str) -> DataFrame:
     return _mixed(spark, d)[0]
 
 
-def _segments(spark: SparkSession, d: str) -> DataFrame:
+def _segments(spark: SparkSession, d: str, places: bool = False) -> DataFrame:
     docs = _read(spark, d, "documents").select("doc_id", "lang", "text")
-    return languages.segments(docs, languages.fit(docs, _read(spark, d, "lang_reference")))
+    return languages.segments(docs, languages.fit(docs, _read(spark, d, "lang_reference")), places=places)
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
@@ -105,7 +105,8 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_segments(spark: SparkSession, d: str) -> DataFrame:
-    return _segments(spark, d)
+    """Every stretch of one language with its place in the text."""
+    return _segments(spark, d, places=True)
 
 
 def p8_documents(spark: SparkSession, d: str) -> DataFrame:

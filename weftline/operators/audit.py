@@ -130,3 +130,12 @@ def number_rows(df: DataFrame, order: list[str], name: str = "row_index") -> Dat
     first = t.groupBy("__part").agg(count_rows().alias("n"), F.min("__at").alias("__first"))
     base = first.withColumn("__base", F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
     return t.join(F.broadcast(base), "__part").withColumn(name, F.col("__at") - F.col("__first") + F.col("__base")).drop("__part", "__at", "__first", "__base")
+
+
+def number_in_place(df: DataFrame, name: str = "row_index") -> DataFrame:
+    """Rows numbered from 0 in the order they are read in. A scan's partition is numbered in itself, from the count of those
+    before it; reading twice must give the same rows."""
+    at = df.withColumn("__at", F.monotonically_increasing_id()).withColumn("__part", F.shiftright("__at", 33))
+    before = at.groupBy("__part").agg(count_rows().alias("n")).select("__part", F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__base"))
+    own = F.row_number().over(Window.partitionBy("__part").orderBy("__at")) - 1
+    return at.join(F.broadcast(before), "__part").withColumn(name, own + F.col("__base")).drop("__part", "__at", "__base")

@@ -51,12 +51,12 @@ class Scratch:
     """Tables written to the shared folder by one run of an iterative operator.
 
     A written table survives lost executors and starts a new plan; `drop` removes one that a later round replaced.
-    Tables a result still reads stay until the cluster clears its checkpoint folder.
+    Tables a result still reads stay until `clear_scratch`, or until the cluster clears its checkpoint folder.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.folder, self.n = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}", 0
-        self.paths: dict[int, str] = {}
+        spark.sparkContext.__dict__.setdefault("_weftline_scratch", []).append(self.folder)
 
     def write(self, df: DataFrame, **metrics) -> DataFrame | tuple[DataFrame, dict]:
         """Write df and read it back. With metrics (name=aggregate Column) also their values, observed on the way."""
@@ -67,7 +67,6 @@ class Scratch:
             df = df.observe(seen, *(c.alias(k) for k, c in metrics.items()))
         df.write.parquet(path)
         table = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(table)] = path
         table._scratch_path = path
         return (table, seen.get) if seen else table
 
@@ -80,3 +79,11 @@ class Scratch:
 
 def count_rows() -> Column:
     return F.count(F.lit(1))
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes all tables this session's operators wrote to the shared folder. Results not written elsewhere by then are lost."""
+    folders = spark.sparkContext.__dict__.pop("_weftline_scratch", [])
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

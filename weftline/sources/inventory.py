@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions.sequences import shard_path
 from ..operators.audit import number_rows
+from ..operators.validate import duplicate_keys, missing_keys
+from ..session import Scratch
 
 
 def retry(call: Callable, tries: int = 5, wait: float = 1.0, sleep: Callable = time.sleep):
@@ -28,7 +30,8 @@ def retry(call: Callable, tries: int = 5, wait: float = 1.0, sleep: Callable = t
 
 
 def discover(spark: SparkSession, page: Callable[[int, int], tuple[int, list[str]]], page_size: int = 10_000, tries: int = 5, wait: float = 1.0) -> DataFrame:
-    """(pdb_id) of a paged service, upper case, each once. page(start, rows) gives (total, ids); pages are fetched by tasks.
+    """(pdb_id) of a paged service, upper case, each once. page(start, rows) gives (total, ids); pages are fetched by tasks
+    into a table of the shared folder, which is checked and returned.
 
     A total that changes between pages, and an incomplete or repeated inventory, raise ValueError.
     """
@@ -41,17 +44,14 @@ def discover(spark: SparkSession, page: Callable[[int, int], tuple[int, list[str
                 now, ids = retry(lambda s=start: page(int(s), page_size), tries, wait)
                 yield pd.DataFrame({"pdb_id": [i.upper() for i in ids], "total": now})
 
-    rows = starts.mapInPandas(fetch, "pdb_id string, total long").persist()
-    try:
-        seen = rows.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("pdb_id").alias("ids"), F.count_if(F.col("total") != total).alias("changed")).first()
-        if seen["changed"]:
-            raise ValueError("the inventory's size changed between pages")
-        if seen["n"] != seen["ids"]:
-            raise ValueError("the inventory repeats an id")
-        if seen["n"] != total:
-            raise ValueError(f"incomplete inventory: {seen['n']} of {total}")
-    finally:
-        rows.unpersist()
+    rows = Scratch(spark, "inventory").write(starts.mapInPandas(fetch, "pdb_id string, total long"))
+    seen = rows.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("pdb_id").alias("ids"), F.count_if(F.col("total") != total).alias("changed")).first()
+    if seen["changed"]:
+        raise ValueError("the inventory's size changed between pages")
+    if seen["n"] != seen["ids"]:
+        raise ValueError("the inventory repeats an id")
+    if seen["n"] != total:
+        raise ValueError(f"incomplete inventory: {seen['n']} of {total}")
     return rows.select("pdb_id")
 
 
@@ -108,3 +108,40 @@ def download(ids: DataFrame, root: str, get: Callable[[str], bytes], key: str =
             yield pd.DataFrame([fetch_one(i, p, get, tries, wait) for i, p in zip(pdf[key], pdf["path"])], columns=["pdb_id", "status", "bytes", "sha256"])
 
     return ids.select(key, shard_path(root, key).alias("path")).mapInPandas(run, "pdb_id string, status string, bytes long, sha256 string")
+
+
+def verify(ids: DataFrame, log: DataFrame, key: str = "pdb_id", shown: int = 20) -> dict:
+    """What a download log (pdb_id, status) lacks of the ids, has beyond them, repeats and reports as failed: counts and a few examples each."""
+    want, got = ids.select(F.upper(key).alias(key)).distinct(), log.select(F.upper(key).alias(key), "status")
+    failed = got.filter(~F.coalesce(F.col("status").isin("ok", "cached", "downloaded"), F.lit(False))).select(key).unionByName(duplicate_keys(got, key).select(key))
+    parts = {"missing": missing_keys(want, got, key), "extra": missing_keys(got, want, key), "failure": failed}
+    out = {"source_ids": want.count(), "logged_ids": got.select(key).distinct().count()}
+    for name, df in parts.items():
+        out[f"{name}_count"], out[f"{name}_examples"] = df.count(), [r[0] for r in df.orderBy(key).limit(shown).collect()]
+    return out | {"status": "failed" if any(out[f"{n}_count"] for n in parts) else "passed"}
+
+
+def opened(base: str) -> Callable[[str], bytes]:
+    """get for download: the gzipped file of an id below a base address."""
+    def get(id_: str) -> bytes:
+        import urllib.request
+
+        with urllib.request.urlopen(f"{base.rstrip('/')}/{id_.lower()}.cif.gz", timeout=120) as r:
+            return r.read()
+
+    return get
+
+
+def posted(url: str, query: dict) -> Callable[[int, int], tuple[int, list[str]]]:
+    """page for discover: a search service that takes a JSON query with request_options.paginate and gives total_count and result_set."""
+    def page(start: int, rows: int) -> tuple[int, list[str]]:
+        import json
+        import urllib.request
+
+        options = query.get("request_options", {}) | {"paginate": {"start": start, "rows": rows}}
+        request = urllib.request.Request(url, json.dumps(query | {"request_options": options}).encode(), {"Content-Type": "application/json"})
+        with urllib.request.urlopen(request, timeout=120) as r:
+            found = json.load(r)
+        return found["total_count"], [x["identifier"] for x in found.get("result_set", [])]
+
+    return page

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gzip
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -48,63 +48,78 @@ def files(spark: SparkSession, path: str, pattern: str = "*.cif.gz") -> DataFram
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path).select("path", "content")
 
 
-def _rows(extract: Callable[[dict], list[dict]], names: list[str]):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                name = path.rsplit("/", 1)[-1]
-                base = {"file": name, "pdb_id": name[:4].upper(), "error_type": None, "message": None}
-                try:
-                    text = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else bytes(content)
-                    if not text.lstrip().startswith(b"data_"):
-                        raise ValueError("no data block")
-                    rows = [base | r for r in extract(parse(text.decode("utf-8", "replace")))]
-                except Exception as e:  # noqa: BLE001 - one bad file becomes a row, not a failed job
-                    rows = [base | {"error_type": type(e).__name__, "message": re.sub(r"[\t\n]", " ", str(e))}]
-                yield pd.DataFrame({c: pd.Series([r.get(c) for r in rows], dtype=object) for c in ["file", "pdb_id", "error_type", "message", *names]})
+def _columns(data: dict, items: dict[str, str]) -> list[dict]:
+    lists = {k: data[v] for k, v in items.items() if v in data}
+    return [dict(zip(lists, row)) for row in zip(*lists.values())] if len(lists) == len(items) else []
 
-    return run
 
+#: Single items as lists, and loops as rows, with the items they come from.
+LISTS = {
+    "methods": "_exptl.method", "xray": "_refine.ls_d_res_high", "em": "_em_3d_reconstruction.resolution", "deposited": "_pdbx_database_status.recvd_initial_deposition_date", "revised": "_pdbx_audit_revision_history.revision_date",
+    "work": "_refine.ls_R_factor_R_work", "free": "_refine.ls_R_factor_R_free", "assembly": "_pdbx_struct_assembly.id", "details": "_pdbx_struct_assembly.oligomeric_details",
+}
+LOOPS = {
+    "entities": {"entity": "_entity_poly.entity_id", "type": "_entity_poly.type", "code": "_entity_poly.pdbx_seq_one_letter_code_can"},
+    "ref_seq": {"ref_id": "_struct_ref_seq.ref_id", "accession": "_struct_ref_seq.pdbx_db_accession", "strands": "_struct_ref_seq.pdbx_strand_id"},
+    "refs": {"ref_id": "_struct_ref.id", "db_name": "_struct_ref.db_name", "accession": "_struct_ref.pdbx_db_accession"},
+}
+ATOM = {
+    "model": "_atom_site.pdbx_PDB_model_num", "chain": "_atom_site.auth_asym_id", "entity": "_atom_site.label_entity_id", "label_seq": "_atom_site.label_seq_id", "auth_seq": "_atom_site.auth_seq_id",
+    "ins": "_atom_site.pdbx_PDB_ins_code", "atom": "_atom_site.label_atom_id", "alt": "_atom_site.label_alt_id", "occupancy": "_atom_site.occupancy", "b_factor": "_atom_site.B_iso_or_equiv", "group": "_atom_site.group_PDB",
+}
+_struct = lambda names: "array<struct<" + ", ".join(f"`{n}`: string" for n in names) + ">>"
+PARSED = (
+    "file string, pdb_id string, error_type string, message string, " + ", ".join(f"{n} array<string>" for n in LISTS) + ", "
+    + ", ".join(f"{n} {_struct(items)}" for n, items in LOOPS.items()) + f", atoms {_struct(['row', *ATOM])}"
+)
+
+
+def _atoms(data: dict) -> list[dict]:
+    lists = {k: data[v] for k, v in ATOM.items() if v in data}
+    rows = (dict.fromkeys(ATOM) | dict(zip(lists, row)) | {"row": str(i)} for i, row in enumerate(zip(*lists.values()))) if lists else ()
+    return [r for r in rows if r["group"] == "ATOM"]
+
+
+def _parse_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        for path, content in zip(pdf["path"], pdf["content"]):
+            name = path.rsplit("/", 1)[-1]
+            row = {"file": name, "pdb_id": name[:4].upper(), "error_type": None, "message": None, **dict.fromkeys((*LISTS, *LOOPS, "atoms"))}
+            try:
+                text = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else bytes(content)
+                if not text.lstrip().startswith(b"data_"):
+                    raise ValueError("no data block")
+                d = parse(text.decode("utf-8", "replace"))
+                row |= {n: d.get(item, []) for n, item in LISTS.items()} | {n: _columns(d, items) for n, items in LOOPS.items()} | {"atoms": _atoms(d)}
+            except Exception as e:  # noqa: BLE001 - one bad file becomes a row, not a failed job
+                row |= {"error_type": type(e).__name__, "message": re.sub(r"[\t\n]", " ", str(e))}
+            yield pd.DataFrame({c: pd.Series([v], dtype=object) for c, v in row.items()})
 
-_BASE = "file string, pdb_id string, error_type string, message string"
 
+def parsed(source: DataFrame) -> DataFrame:
+    """One row a file with all its items and loops nested: what the readers below take. Write it where several of them read it. Given such rows, returns them."""
+    return source if "content" not in source.columns else source.mapInPandas(_parse_files, PARSED)
 
-def _columns(data: dict, **items: str) -> list[dict]:
-    lists = {k: data.get(v, []) for k, v in items.items()}
-    return [dict(zip(lists, row)) for row in zip(*lists.values())]
+
+def _loop(source: DataFrame, name: str) -> DataFrame:
+    return parsed(source).filter("error_type is null").select("pdb_id", F.explode(name).alias("x")).select("pdb_id", "x.*")
 
 
 def read_metadata(source: DataFrame) -> DataFrame:
     """One row a file: method, category, resolution, and its error where it has one. The category picks the resolution's source."""
-    def extract(d: dict) -> list[dict]:
-        return [{"method": ";".join(d.get("_exptl.method", [])), "xray": d.get("_refine.ls_d_res_high", []), "em": d.get("_em_3d_reconstruction.resolution", [])}]
-
-    rows = source.mapInPandas(_rows(extract, ["method", "xray", "em"]), f"{_BASE}, method string, xray array<string>, em array<string>")
+    rows = parsed(source).withColumn("method", F.array_join("methods", ";"))
     cat = method_category("method")
     return rows.select("file", "pdb_id", "method", cat.alias("category"), F.when(cat == "xray", best_float("xray")).when(cat == "em", best_float("em")).alias("resolution"), "error_type", "message")
 
 
 def read_entities(source: DataFrame) -> DataFrame:
     """(pdb_id, entity, deposited_length) of the L-polypeptides."""
-    names = ["entity", "type", "code"]
-    rows = source.mapInPandas(_rows(lambda d: _columns(d, entity="_entity_poly.entity_id", type="_entity_poly.type", code="_entity_poly.pdbx_seq_one_letter_code_can"), names), f"{_BASE}, entity string, type string, code string")
-    return rows.filter("error_type is null and type = 'polypeptide(L)'").select("pdb_id", "entity", one_letter_length("code").alias("deposited_length"))
-
-
-ATOM = {
-    "model": "_atom_site.pdbx_PDB_model_num", "chain": "_atom_site.auth_asym_id", "entity": "_atom_site.label_entity_id", "label_seq": "_atom_site.label_seq_id", "auth_seq": "_atom_site.auth_seq_id",
-    "ins": "_atom_site.pdbx_PDB_ins_code", "atom": "_atom_site.label_atom_id", "alt": "_atom_site.label_alt_id", "occupancy": "_atom_site.occupancy", "b_factor": "_atom_site.B_iso_or_equiv", "group": "_atom_site.group_PDB",
-}
+    return _loop(source, "entities").filter("type = 'polypeptide(L)'").select("pdb_id", "entity", one_letter_length("code").alias("deposited_length"))
 
 
 def read_atoms(source: DataFrame) -> DataFrame:
     """The ATOM rows of every file, with `row` their place in it."""
-    def extract(d: dict) -> list[dict]:
-        cols = {k: v for k, v in ATOM.items() if v in d}
-        return [r | {"row": i} for i, r in enumerate(_columns(d, **cols)) if r.get("group") == "ATOM"] if cols else []
-
-    rows = source.mapInPandas(_rows(extract, ["row", *ATOM]), f"{_BASE}, row int, " + ", ".join(f"`{c}` string" for c in ATOM))
-    return rows.filter("error_type is null").drop("file", "error_type", "message", "group")
+    return _loop(source, "atoms").withColumn("row", F.col("row").cast("int")).drop("group")
 
 
 def chain_entities(atoms: DataFrame, entities: DataFrame) -> DataFrame:
@@ -116,15 +131,12 @@ def chain_entities(atoms: DataFrame, entities: DataFrame) -> DataFrame:
 
 def read_references(source: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(ref_seq, refs) for native_accessions."""
-    seq = source.mapInPandas(_rows(lambda d: _columns(d, ref_id="_struct_ref_seq.ref_id", accession="_struct_ref_seq.pdbx_db_accession", strands="_struct_ref_seq.pdbx_strand_id"), ["ref_id", "accession", "strands"]), f"{_BASE}, ref_id string, accession string, strands string")
-    refs = source.mapInPandas(_rows(lambda d: _columns(d, ref_id="_struct_ref.id", db_name="_struct_ref.db_name", accession="_struct_ref.pdbx_db_accession"), ["ref_id", "db_name", "accession"]), f"{_BASE}, ref_id string, db_name string, accession string")
-    return seq.filter("error_type is null").select("pdb_id", "ref_id", "accession", "strands"), refs.filter("error_type is null").select("pdb_id", "ref_id", "db_name", "accession")
+    return _loop(source, "ref_seq"), _loop(source, "refs")
 
 
 def read_entry(source: DataFrame) -> DataFrame:
     """(pdb_id, deposition_date, release_date, r_work, r_free, assembly_count, assembly_descriptions) per file; the release is the earliest revision."""
-    items = {"deposited": "_pdbx_database_status.recvd_initial_deposition_date", "revised": "_pdbx_audit_revision_history.revision_date", "work": "_refine.ls_R_factor_R_work", "free": "_refine.ls_R_factor_R_free", "assembly": "_pdbx_struct_assembly.id", "details": "_pdbx_struct_assembly.oligomeric_details"}
-    rows = source.mapInPandas(_rows(lambda d: [{k: d.get(v, []) for k, v in items.items()}], list(items)), f"{_BASE}, " + ", ".join(f"{k} array<string>" for k in items)).filter("error_type is null")
+    rows = parsed(source).filter("error_type is null")
     here = lambda c: F.filter(c, lambda x: ~x.isin("", ".", "?"))
     first = lambda c: F.get(here(c), F.lit(0))
     return rows.select(

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.ids import canonical_id, valid_id
+from ..operators.audit import number_in_place
 from ..operators.validate import duplicate_keys, require
 
 
@@ -14,7 +15,7 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def or_empty(spark: SparkSession, path: str, schema: str, read) -> DataFrame:
+def or_empty(spark: SparkSession, path: str, schema, read) -> DataFrame:
     """read(path), or no rows of the schema where the path does not exist."""
     return read(path) if exists(spark, path) else spark.createDataFrame([], schema)
 
@@ -33,9 +34,8 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """(row_index, id): one id a line in file order, blank lines aside. File order is kept for one file."""
-    lines = spark.read.text(path).withColumn("at", F.monotonically_increasing_id()).filter(F.trim("value") != "")
-    rows = lines.select("at", F.trim("value").alias("id")).rdd.zipWithIndex().map(lambda x: (x[1], x[0]["id"]))
-    return spark.createDataFrame(rows, "row_index long, id string")
+    lines = spark.read.text(path).filter(F.trim("value") != "").select(F.trim("value").alias("id"))
+    return number_in_place(lines).select("row_index", "id")
 
 
 def read_fasta(spark: SparkSession, path: str, check: bool = True) -> DataFrame:
@@ -87,26 +87,20 @@ def read_topologies(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_header_keys(spark: SparkSession, data: str, index: str) -> DataFrame:
-    """(key, id) of a header file with an index of (key, offset, length): each slice's first word, its entry in upper case.
+    """(key, id) of a header file with an index of (key, offset, length): the first word of the entry at each offset, its entry in upper case.
 
-    Index rows go to tasks, which read their slices from the shared file. A repeated id raises ValueError.
+    Entries end with a null byte. Spark reads them as lines of the one file, wherever it lies; their offsets are running sums of lengths, within a
+    scan's partition and over partitions, and meet the index by a join. An offset where no entry starts, a malformed
+    and a repeated id raise ValueError.
     """
-    import pandas as pd
-
     cols = F.split(F.trim("value"), r"\s+")
-    rows = spark.read.text(index).filter(F.trim("value") != "").select(cols[0].alias("key"), cols[1].cast("long").alias("offset"), cols[2].cast("long").alias("length"))
-
-    def slices(batches):
-        with open(data.removeprefix("file://"), "rb") as f:
-            for pdf in batches:
-                out = []
-                for key, offset, length in zip(pdf["key"], pdf["offset"], pdf["length"]):
-                    f.seek(offset)
-                    words = f.read(length).rstrip(b"\0\n").decode("utf-8", "replace").split()
-                    out.append((key, words[0] if words else ""))
-                yield pd.DataFrame(out, columns=["key", "id"])
-
-    keys = rows.mapInPandas(slices, "key string, id string")
+    rows = spark.read.text(index).filter(F.trim("value") != "").select(cols[0].alias("key"), cols[1].cast("long").alias("offset"))
+    at = spark.read.option("lineSep", "\0").text(data).select("value", (F.octet_length("value") + 1).cast("long").alias("size"), F.monotonically_increasing_id().alias("at")).withColumn("part", F.shiftright("at", 33))
+    before = at.groupBy("part").agg(F.sum("size").alias("n")).select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    inside = F.coalesce(F.sum("size").over(Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    entries = at.withColumn("inside", inside).join(F.broadcast(before), "part").select((F.col("inside") + F.col("base")).alias("offset"), F.split(F.trim(F.translate("value", "\n\r\t", "   ")), " ")[0].alias("id"))
+    require(rows.join(entries, "offset", "left_anti"), "no header at offset")
+    keys = rows.join(entries, "offset").select("key", "id")
     require(keys.filter(~valid_id("id")), "malformed header id")
     keys = keys.select("key", canonical_id("id").alias("id"))
     require(duplicate_keys(keys, "id"), "repeated header id")

@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from weftline.llm import survivors
@@ -43,7 +44,7 @@ def test_survivors_and_layers_against_brute_force(spark):
     schema = "id string, g string, internal_missing_residues int, backbone_complete_fraction double, resolution double, quality_score double, method string, rare string, d0 int"
     df = spark.createDataFrame([tuple({**m, "d0": 5}.values()) for m in members], schema)
     want = brute(members, ("method", "rare"))
-    got = {r["group_id"]: r.asDict() for r in survivors.best_representatives(df, "g", "id", fill=("method", "rare")).collect()}
+    got = {r["group_id"]: r.asDict() for r in survivors.best_representatives(df, "g", "id", fill=("method", "rare"), block=7).collect()}
     assert got.keys() == want.keys() and len(want) > 20
     for k, w in want.items():
         for c, v in w.items():
@@ -51,12 +52,13 @@ def test_survivors_and_layers_against_brute_force(spark):
     assert survivors.best_representatives(df.limit(0), "g", "id", fill=("method",)).count() == 0
 
 
-def test_skyline_of_a_hot_group_over_many_partitions(spark):
+@pytest.mark.parametrize("block, spread", [(5000, 12), (6, 12), (9, 0)])
+def test_skyline_of_a_hot_group_over_many_partitions(spark, block, spread):
     rnd = random.Random(22)
-    vs = {(rnd.randrange(12), rnd.randrange(12), rnd.randrange(12)) for _ in range(900)}
+    vs = {(rnd.randrange(12), rnd.randrange(12), rnd.randrange(12)) for _ in range(900)} if spread else {(i, 120 - i, i % 3) for i in range(120)}
     df = spark.createDataFrame([("hot", *map(float, v)) for v in vs], "grp string, d0 double, d1 double, d2 double").repartition(7)
     want = {v for v in vs if not any(o != v and all(a <= b for a, b in zip(o, v)) for o in vs)}
-    assert {tuple(map(int, r[1:])) for r in survivors.skyline(df, 3).collect()} == want
+    assert {tuple(map(int, r[1:])) for r in survivors.skyline(df.withColumn("grp", F.encode("grp", "utf-8")), 3, block).collect()} == want and len(want) > (0 if spread else 100)
 
 
 def test_latest_usable_values(spark):

@@ -17,38 +17,57 @@ from ..session import Scratch, count_rows
 CRITERIA = (("internal_missing_residues", 1), ("backbone_complete_fraction", -1), ("resolution", 1), ("quality_score", -1))
 
 
-def _undominated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows that no other row of their group dominates; the partition is sorted by grp and d0, d1, ... .
+def _undominated(*keys: str):
+    """Rows that no other row of their group dominates; the partition is sorted by keys and d0, d1, ... .
 
     In that order a row can only be dominated by one before it, so a window of kept rows is enough.
     """
-    group, window = None, []
-    for pdf in batches:
-        dims = [pdf[c].tolist() for c in pdf.columns if c[:1] == "d" and c[1:].isdigit()]
-        keep = []
-        for g, *x in zip(pdf["grp"].tolist(), *dims):
-            if g != group:
-                group, window = g, []
-            by = next((i for i, w in enumerate(window) if all(a <= b for a, b in zip(w, x))), None)
-            keep.append(by is None)
-            if by is None:
-                window.append(x)
-            elif by:  # what dominates much moves ahead, so that most rows are compared with few
-                window[0], window[by] = window[by], window[0]
-        yield pdf[keep]
-
-
-def skyline(vectors: DataFrame, n_dims: int, salts: int = 32) -> DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, window = None, []
+        for pdf in batches:
+            dims = [pdf[c].tolist() for c in pdf.columns if c[:1] == "d" and c[1:].isdigit()]
+            keep = []
+            for g, *x in zip(zip(*(pdf[k].tolist() for k in keys)), *dims):
+                if g != group:
+                    group, window = g, []
+                by = next((i for i, w in enumerate(window) if all(a <= b for a, b in zip(w, x))), None)
+                keep.append(by is None)
+                if by is None:
+                    window.append(x)
+                elif by:  # what dominates much moves ahead, so that most rows are compared with few
+                    window[0], window[by] = window[by], window[0]
+            yield pdf[keep]
+
+    return run
+
+
+def skyline(vectors: DataFrame, n_dims: int, block: int = 5000) -> DataFrame:
     """The rows (grp, d0..., other columns) undominated in their group; vectors of a group must differ, smaller is better.
 
-    Three passes of the same sorted window: over the rows as they lie, then by group and salt, then by group. What
-    reaches a group's last task is at most `salts` local skylines, never its rows.
+    A first window drops what is dominated where the rows lie. What is left of a group is dealt by hash to parts of about
+    `block` rows, as many as it needs, and each part keeps its own skyline. Every two parts of a group then meet in a
+    task of their own, which tells what one has that dominates the other's. So no task holds more than two blocks, and no
+    group's rows come together, however many of them stay undominated.
     """
-    order = ["grp", *(f"d{i}" for i in range(n_dims))]
-    local = vectors.sortWithinPartitions(*order).mapInPandas(_undominated, vectors.schema)
-    salt = F.pmod(F.xxhash64(*order[1:]), F.lit(salts))
-    mid = local.repartition(F.col("grp"), salt).sortWithinPartitions(*order).mapInPandas(_undominated, vectors.schema)
-    return mid.repartition("grp").sortWithinPartitions(*order).mapInPandas(_undominated, vectors.schema)
+    dims = [f"d{i}" for i in range(n_dims)]
+    scratch = Scratch(vectors.sparkSession, "skyline")
+    local = scratch.write(vectors.sortWithinPartitions("grp", *dims).mapInPandas(_undominated("grp"), vectors.schema))
+    parts = local.groupBy("grp").agg(F.ceil(count_rows() / block).cast("int").alias("__parts"))
+    dealt = local.join(parts, "grp").withColumn("__part", F.pmod(F.xxhash64(*dims), F.col("__parts")).cast("int"))
+    dealt = dealt.repartition("grp", "__part").sortWithinPartitions("grp", "__part", *dims)
+    own = scratch.write(dealt.mapInPandas(_undominated("grp", "__part"), dealt.schema))
+    many = own.filter("__parts > 1").select("grp", *dims, "__part", "__parts")
+    other = F.explode(F.array_except(F.sequence(F.lit(0), F.col("__parts") - 1), F.array("__part")))
+    left = many.withColumn("__by", other).drop("__parts")
+    right = many.withColumn("__of", other).withColumnRenamed("__part", "__by").withColumnRenamed("__of", "__part").drop("__parts")
+    key = ["grp", "__part", "__by"]
+
+    def beaten(rows: pd.DataFrame, by: pd.DataFrame) -> pd.DataFrame:
+        x, y = rows[dims].to_numpy("float64"), by[dims].to_numpy("float64")
+        return rows.loc[[bool((y <= r).all(axis=1).any()) for r in x] if len(y) else [False] * len(x), ["grp", *dims]]
+
+    lost = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(beaten, many.select("grp", *dims).schema)
+    return own.drop("__part", "__parts").join(lost, ["grp", *dims], "left_anti")
 
 
 def latest_value(value: Column, usable: Column, loaded_at: Column) -> Column:
@@ -79,7 +98,7 @@ def known_values(records: DataFrame, annotations: DataFrame) -> DataFrame:
     return r.filter("digest is not null").join(a, "id", "left")
 
 
-def best_representatives(members: DataFrame, group: str, id_: str, criteria: tuple[tuple[str, int], ...] = CRITERIA, fill: tuple[str, ...] = ()) -> DataFrame:
+def best_representatives(members: DataFrame, group: str, id_: str, criteria: tuple[tuple[str, int], ...] = CRITERIA, fill: tuple[str, ...] = (), block: int = 5000) -> DataFrame:
     """(group_id, survivor_id, group_size, criteria..., fill...) for each group of two or more members; ids are unique.
 
     The members undominated over the criteria (null is worse than any value) are the first layer. The policy orders
@@ -105,7 +124,7 @@ def best_representatives(members: DataFrame, group: str, id_: str, criteria: tup
     policy = lambda *more: F.struct(*(F.col(d) for d in dims), F.col("id"), *more)
     done = None
     while True:
-        layer = scratch.write(skyline(rest, n))
+        layer = scratch.write(skyline(rest, n, block))
         firsts = [F.min(policy())["id"].alias("survivor_id"), *(F.min(F.when(F.col(c).isNotNull(), policy(F.col(c).alias("value"))))["value"].alias(c) for c in fields)]
         best = layer.groupBy("grp").agg(*firsts)
         if done is None:

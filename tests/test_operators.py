@@ -247,7 +247,7 @@ def test_nearest_vectors_in_blocks(spark):
     rnd = np.random.default_rng(6)
     v = rnd.normal(size=(60, 5))
     df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)] + [(90, [0.0] * 5), (91, None)], "vec_id long, embedding array<float>")
-    got = {(r["query_id"], r["rank"]): r["target_id"] for r in similarity.nearest_vectors(df.filter("vec_id % 5 = 0 or vec_id > 89"), df, 3, block=4).collect()}
+    got = {(r["query_id"], r["rank"]): r["target_id"] for r in similarity.nearest_vectors(df.filter("vec_id % 5 = 0 or vec_id > 89"), df, 3, block=(4, 7)).collect()}
     v = v.astype("float32").astype("float64")
     u = v / np.linalg.norm(v, axis=1, keepdims=True)
     for q in range(0, 60, 5):

@@ -173,52 +173,45 @@ def top_hits(hits: DataFrame, k: int = 10, by: tuple[str, ...] = ("query_id",))
     return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def nearest_vectors(queries: DataFrame, rows: DataFrame, k: int = 10, block: int = 4096, id_: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def nearest_vectors(queries: DataFrame, rows: DataFrame, k: int = 10, block: tuple[int, int] = (1024, 8192), id_: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, target_id, cosine, rank): the k rows of largest cosine for each query, exact, itself left out.
 
-    Queries go in blocks of at most `block` vectors, which bounds what is broadcast at a time; each task scores its
-    rows against a block by one matrix product and keeps k per query. Ties go to the smaller id. Null and zero vectors have no neighbours.
+    Queries and rows are dealt by hash to blocks of about `block` vectors; one task scores a block of queries against a
+    block of rows by a matrix product and keeps k per query. Nothing passes through the driver; the cost is the
+    product of the two sides, so it is for a stated set of queries. Ties go to the smaller id. Null and zero vectors
+    have no neighbours.
     """
     import numpy as np
     import pandas as pd
 
-    spark = queries.sparkSession
-    scratch = Scratch(spark, "vectors")
-    q = queries.filter(F.col(id_).isNotNull() & F.col(vector).isNotNull()).select(id_, vector)
-    n = q.count()
-    blocks = max(1, -(-n // max(block // 2, 1)))
-    q = scratch.write(q.withColumn("block", F.pmod(F.xxhash64(id_), F.lit(blocks)).cast("int")))
+    scratch = Scratch(queries.sparkSession, "vectors")
+    known = lambda d: d.filter(F.col(id_).isNotNull() & F.col(vector).isNotNull()).select(F.col(id_).cast("long").alias("i"), F.col(vector).cast("array<double>").alias("x"))
+    (q, nq), (t, nt) = (scratch.write(known(d), n=count_rows()) for d in (queries, rows))
+    nq, nt = (max(1, -(-seen["n"] // size)) for seen, size in ((nq, block[0]), (nt, block[1])))
+    part = lambda n: F.pmod(F.xxhash64("i"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left, right = q.select("i", "x", part(nq).alias("qp"), every(nt).alias("tp")), t.select("i", "x", part(nt).alias("tp"), every(nq).alias("qp"))
     schema = StructType([StructField("query_id", LongType()), StructField("target_id", LongType()), StructField("cosine", DoubleType())])
-    out = None
-    for b in range(blocks if n else 0):
-        part = q.filter(F.col("block") == b).toPandas()
-        if part.empty:
-            continue
-        m = np.stack(part[vector].to_numpy()).astype("float64")
-        norm = np.linalg.norm(m, axis=1)
-        ids, m = part[id_].to_numpy()[norm > 0], m[norm > 0] / norm[norm > 0, None]
-        shared = spark.sparkContext.broadcast((ids, m))
-
-        def score(batches, shared=shared):
-            ids, m = shared.value
-            for pdf in batches:
-                pdf = pdf[pdf[vector].notna()]
-                if pdf.empty or not len(ids):
-                    continue
-                x = np.stack(pdf[vector].to_numpy()).astype("float64")
-                size = np.linalg.norm(x, axis=1)
-                keep = size > 0
-                x, t = x[keep] / size[keep, None], pdf[id_].to_numpy()[keep]
-                s = x @ m.T
-                s[t[:, None] == ids[None, :]] = -np.inf
-                take = min(k, len(t))
-                order = np.lexsort((np.broadcast_to(t[:, None], s.shape), -s), axis=0)[:take]
-                yield pd.DataFrame({"query_id": np.tile(ids, take), "target_id": t[order].ravel(), "cosine": np.take_along_axis(s, order, axis=0).ravel()}).query("cosine > -2")
-
-        hits = rows.select(id_, vector).mapInPandas(score, schema)
-        out = hits if out is None else out.unionByName(hits)
-    if out is None:
-        return spark.createDataFrame([], StructType([*schema, StructField("rank", LongType())]))
+
+    def unit(pdf: pd.DataFrame) -> tuple:
+        x = np.stack(pdf["x"].to_numpy())
+        size = np.linalg.norm(x, axis=1)
+        return pdf["i"].to_numpy()[size > 0], x[size > 0] / size[size > 0, None]
+
+    def score(of: pd.DataFrame, to: pd.DataFrame) -> pd.DataFrame:
+        if of.empty or to.empty:
+            return pd.DataFrame({"query_id": [], "target_id": [], "cosine": []})
+        (ids, m), (others, x) = unit(of), unit(to)
+        s = x @ m.T
+        s[others[:, None] == ids[None, :]] = -np.inf
+        take = min(k, len(others))
+        # the id settles equal values, which may differ in their last digits
+        order = np.lexsort((np.broadcast_to(others[:, None], s.shape), -np.round(s, 9)), axis=0)[:take]
+        return pd.DataFrame({"query_id": np.tile(ids, take), "target_id": others[order].ravel(), "cosine": np.take_along_axis(s, order, axis=0).ravel()}).query("cosine > -2")
+
+    tasks = max(1, min(nq * nt, 2000))
+    left, right = left.repartition(tasks, "qp", "tp"), right.repartition(tasks, "qp", "tp")
+    out = left.groupBy("qp", "tp").cogroup(right.groupBy("qp", "tp")).applyInPandas(score, schema)
     w = Window.partitionBy("query_id").orderBy(F.desc(F.round("cosine", 9)), "target_id")
     return out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
@@ -247,7 +240,9 @@ def set_cover_clusters(pairs: DataFrame, vertices: DataFrame) -> DataFrame:
             break
         done = taken if done is None else done.unionByName(taken)
         gone = taken.select("member").distinct()
+        old = e
         left, m = scratch.write(e.join(gone.withColumnRenamed("member", "a"), "a", "left_anti").join(gone.withColumnRenamed("member", "b"), "b", "left_anti"), n=count_rows())
+        scratch.drop(old)
         e = left
         if not m["n"]:
             break

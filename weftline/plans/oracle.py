@@ -163,6 +163,7 @@ select qi as query_id, ti as target_id, round(c, 6) as cosine, rn::int as rank f
     "tsv_roundtrip": "select merged_group, split, count(*) as n from cluster_membership group by 1, 2",
     "streamed_reason_counts": f"""select strftime(date '1970-01-01' + (7 * floor(epoch(loaded_at) / 604800))::int, '%Y-%m-%d') as period_start, coalesce({_REASON}, 'kept') as reason, count(*) as n
 from (select nullif(aa, '') as aa, nullif(three_di, '') as three_di, method, method_category, resolution, loaded_at from records where loaded_at is not null) group by 1, 2""",
+    "streamed_first_deliveries": f"select {_id('id')} as id, count(distinct loaded_at) as n_deliveries, strftime(min(loaded_at), '%Y-%m-%d') as first_day from records where id is not null and loaded_at is not null group by 1",
     "p3_found": f"""select 'records.pdb_id' as key_field, k as key_value from (select {_ENTRY_KEY} as k, count(*) as n from records group by 1) where k is not null and n >= 0.02 * (select count(*) from records)
 union all select 'cluster_membership.merged_group', k from (select {_GROUP_KEY} as k, count(*) as n from cluster_membership group by 1) where k is not null and n >= 0.02 * (select count(*) from cluster_membership)""",
     "p3_summary": _summary("records.pdb_id", _ENTRY_KEY, "resolution", "loaded_at", "records") + " union all " + _summary("cluster_membership.merged_group", _GROUP_KEY, "selected_representative", _id("id"), "cluster_membership"),

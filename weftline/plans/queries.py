@@ -46,6 +46,13 @@ def streamed_reason_counts(spark: SparkSession, d: str) -> DataFrame:
     return deliveries.run_available(counts, "reasons").select(F.date_format("period_start", "yyyy-MM-dd").alias("period_start"), "reason", "n")
 
 
+def streamed_first_deliveries(spark: SparkSession, d: str) -> DataFrame:
+    """Chains as they are first delivered, repeats within the watermark dropped as they come: once each with every time of delivery."""
+    stream = deliveries.read_deliveries(spark, f"{d}/records.parquet").filter("id is not null and loaded_at is not null").select(canonical_id("id").alias("id"), "loaded_at")
+    rows = deliveries.run_available(deliveries.first_deliveries(stream.withColumn("at", F.col("loaded_at").cast("string")), ["id", "at"]), "first", "append")
+    return rows.groupBy("id").agg(count_rows().alias("n_deliveries"), F.date_format(F.min("loaded_at"), "yyyy-MM-dd").alias("first_day"))
+
+
 def _p3_inputs(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     r = _read(spark, d, "records").select(entry_key("pdb_id", "id").alias("key"), "resolution", "loaded_at")
     m = _read(spark, d, "cluster_membership").select(canonical_id(F.nullif(F.trim("merged_group"), F.lit(""))).alias("key"), F.col("selected_representative").alias("value"), canonical_id("id").alias("id"))
@@ -406,6 +413,6 @@ QUERIES = {f.__name__: f for f in (
     exclusion_reason_counts, filter_totals, kept_records, formatted_metrics, pairing_full_outer, id_components, sequence_complexity, usable_filter, method_rollup, multivalue_mapping, ref_accession_fallback,
     exact_duplicate_groups, dedupe_argmin, group_representative, components_sequence, components_structure, components_overlay, group_sizes_weights, grouped_split, split_membership, split_excluded, split_counts,
     quality_split, structure_split, chronological_split, novelty_labels, key_translation_edges, hits_audit, cross_split_hits, repair_round, repair_fixpoint, residue_chain_rollup, download_reconcile, shard_assignment,
-    split_validation, row_index_export, path_checksum, set_operations, sorted_limit, vector_neighbours_topk, sequence_similarity_audit, structure_similarity_topk, similarity_clusters, fasta_roundtrip, tsv_roundtrip, streamed_reason_counts,
+    split_validation, row_index_export, path_checksum, set_operations, sorted_limit, vector_neighbours_topk, sequence_similarity_audit, structure_similarity_topk, similarity_clusters, fasta_roundtrip, tsv_roundtrip, streamed_reason_counts, streamed_first_deliveries,
     p3_found, p3_summary,
 )}

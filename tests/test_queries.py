@@ -5,11 +5,9 @@ from compare import FOLDER, both
 
 from weftline.plans import oracle, queries
 
-SLOW = {"components_sequence", "components_structure", "split_membership", "split_excluded", "split_counts", "grouped_split", "group_sizes_weights"}
-
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables here")
-@pytest.mark.parametrize("name", sorted(set(oracle.SQL) - SLOW))
+@pytest.mark.parametrize("name", sorted(oracle.SQL))
 def test_query_equals_sql(spark, name):
     got, want = both(spark, queries.QUERIES[name], oracle.SQL[name])
     assert got == want

@@ -80,20 +80,29 @@ def _atoms(data: dict) -> list[dict]:
     return [r for r in rows if r["group"] == "ATOM"]
 
 
-def _parse_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _parse_files(batches: Iterator[pd.DataFrame], most: int = 1 << 22) -> Iterator[pd.DataFrame]:
+    """Parsed rows, handed on whenever the files they come from hold `most` bytes: many small files a batch, or one large one."""
+    frame = lambda rows: pd.DataFrame({c: pd.Series([r[c] for r in rows], dtype=object) for c in rows[0]})
     for pdf in batches:
+        rows, size = [], 0
         for path, content in zip(pdf["path"], pdf["content"]):
             name = path.rsplit("/", 1)[-1]
             row = {"file": name, "pdb_id": name[:4].upper(), "error_type": None, "message": None, **dict.fromkeys((*LISTS, *LOOPS, "atoms"))}
             try:
                 text = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else bytes(content)
+                size += len(text)
                 if not text.lstrip().startswith(b"data_"):
                     raise ValueError("no data block")
                 d = parse(text.decode("utf-8", "replace"))
                 row |= {n: d.get(item, []) for n, item in LISTS.items()} | {n: _columns(d, items) for n, items in LOOPS.items()} | {"atoms": _atoms(d)}
             except Exception as e:  # noqa: BLE001 - one bad file becomes a row, not a failed job
                 row |= {"error_type": type(e).__name__, "message": re.sub(r"[\t\n]", " ", str(e))}
-            yield pd.DataFrame({c: pd.Series([v], dtype=object) for c, v in row.items()})
+            rows.append(row)
+            if size >= most:
+                yield frame(rows)
+                rows, size = [], 0
+        if rows:
+            yield frame(rows)
 
 
 def parsed(source: DataFrame) -> DataFrame:

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -267,13 +268,23 @@ def test_set_cover_is_the_sequential_greedy(spark):
     near = {name(i): {name(b if a == i else a) for a, b in pairs if i in (a, b)} for i in range(32)}
     open_, want = set(near), {}
     while open_:
-        best = min(open_, key=lambda x: (-len(near[x] & open_), x))
+        best = min(open_, key=lambda x: (-len(near[x] & open_), hashlib.md5(x.encode()).hexdigest(), x))
         for m in (near[best] & open_) | {best}:
             want[m] = best
         open_ -= set(x for x, r in want.items())
     assert {m: r for r, m in rows(similarity.set_cover_clusters(df, v))} == want
 
 
+def test_set_cover_of_a_long_path_takes_few_rounds(spark, monkeypatch):
+    written, write = [], similarity.Scratch.write
+    monkeypatch.setattr(similarity.Scratch, "write", lambda self, *a, **k: written.append(1) or write(self, *a, **k))
+    path = spark.range(600).select(F.format_string("v%04d", "id").alias("src"), F.format_string("v%04d", F.col("id") + 1).alias("dst"))
+    v = spark.range(601).select(F.format_string("v%04d", "id").alias("id"))
+    got = rows(similarity.set_cover_clusters(path, v))
+    assert len(got) == 601 and all(abs(int(r[1:]) - int(m[1:])) <= 1 for r, m in got) and {r for r, m in got} == {m for r, m in got if r == m}
+    assert len(written) <= 1 + 3 * 12
+
+
 def test_validation(spark):
     a, b = spark.createDataFrame([("x", 1), ("y", 2), ("y", 2)], "id string, v int"), spark.createDataFrame([("x", 9)], "id string, v int")
     assert rows(validate.missing_keys(a, b)) == [("y",)] and rows(validate.duplicate_keys(a, "id")) == [("y", 2)]

@@ -218,27 +218,29 @@ def nearest_vectors(queries: DataFrame, rows: DataFrame, k: int = 10, block: tup
 
 def set_cover_clusters(pairs: DataFrame, vertices: DataFrame) -> DataFrame:
     """(rep, member): greedy set cover over similarity pairs (src, dst), as taking the vertex with most open neighbours
-    first and smaller ids on ties would give; a vertex no one covers is its own cluster.
+    first, and on ties that of the smaller md5, would give; a vertex no one covers is its own cluster.
 
-    A vertex whose open degree is the largest among all within two steps is what the sequential rule would take
-    before any of these, so each round takes all such vertices at once.
+    A vertex that comes first among all within two steps is what the sequential rule would take before any of these, so
+    each round takes all such vertices at once. Ties are broken by a hash, so a long path of equal degrees, whatever its
+    ids, is taken in many places a round. The members of all rounds are read by one scan.
     """
     spark = pairs.sparkSession
     scratch = Scratch(spark, "cover")
     e = pairs.select(F.col("src").alias("a"), F.col("dst").alias("b")).filter("a != b")
     e = scratch.write(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    done = None
+    rounds = []
     while True:
         deg = e.groupBy(F.col("a").alias("v")).agg(count_rows().alias("d"))
-        # the smallest (-degree, id) of the closed neighbourhood, taken twice, looks two steps far
-        own = deg.select("v", F.struct((-F.col("d")).alias("d"), F.col("v").alias("id")).alias("k"))
+        # the smallest key of the closed neighbourhood, taken twice, looks two steps far
+        own = deg.select("v", F.struct((-F.col("d")).alias("d"), F.md5("v").alias("tie"), F.col("v").alias("id")).alias("k"))
         near = e.join(own.select(F.col("v").alias("b"), "k"), "b").groupBy(F.col("a").alias("v")).agg(F.min("k").alias("m")).join(own, "v").select("v", "k", F.least("k", "m").alias("m"))
         far = e.join(near.select(F.col("v").alias("b"), F.col("m").alias("m1")), "b").groupBy(F.col("a").alias("v")).agg(F.min("m1").alias("m2")).join(near, "v")
-        reps = far.filter((F.col("k") == F.col("m")) & (F.col("k") == F.least("m", "m2"))).select(F.col("v").alias("rep"))
+        reps = scratch.write(far.filter((F.col("k") == F.col("m")) & (F.col("k") == F.least("m", "m2"))).select(F.col("v").alias("rep")))
         taken, n = scratch.write(e.join(reps.withColumnRenamed("rep", "a"), "a").select(F.col("a").alias("rep"), F.col("b").alias("member")).unionByName(reps.select("rep", F.col("rep").alias("member"))), n=count_rows())
+        scratch.drop(reps)
         if not n["n"]:
             break
-        done = taken if done is None else done.unionByName(taken)
+        rounds.append(taken._scratch_path)
         gone = taken.select("member").distinct()
         old = e
         left, m = scratch.write(e.join(gone.withColumnRenamed("member", "a"), "a", "left_anti").join(gone.withColumnRenamed("member", "b"), "b", "left_anti"), n=count_rows())
@@ -247,6 +249,7 @@ def set_cover_clusters(pairs: DataFrame, vertices: DataFrame) -> DataFrame:
         if not m["n"]:
             break
     v = vertices.select(F.col("id").alias("member")).filter("member is not null").distinct()
-    if done is None:
+    if not rounds:
         return v.select(F.col("member").alias("rep"), "member")
+    done = spark.read.schema("rep string, member string").parquet(*rounds)
     return v.join(done, "member", "left").select(F.coalesce("rep", "member").alias("rep"), "member")

@@ -159,6 +159,15 @@ union all select 'except_all', count(*) from (select * from r except all select
 select qi as query_id, ti as target_id, round(c, 6) as cosine, rn::int as rank from (select *, row_number() over (partition by qi order by round(c, 9) desc, ti) as rn from s) where rn <= 5""",
     "sequence_similarity_audit": f"with {_similar('sequence_aa', 0.8)} select kind, query_id, target_id, round(fident, 6) as fident from sim",
     "structure_similarity_topk": f"with {_similar('sequence_3di', 0.5)} select kind, query_id, target_id, round(fident, 6) as fident, rn::int as rank from (select *, row_number() over (partition by kind, query_id order by fident desc, target_id) as rn from sim) where rn <= 10",
+    "similarity_clusters": f"""with recursive {_HIT}, ids as (select distinct {_id('id')} as id from records where id is not null),
+strong as (select q as a, t as b from hit where q <> t and q in (select id from ids) and t in (select id from ids)),
+r(kind, a, b) as (select 'open', a, b from (select a, b from strong union select b, a from strong) union all select * from (
+  with e as (select a, b from r where kind = 'open'), own as (select a as v, lpad((1000000000 - count(*))::varchar, 10, '0') || md5(a) || a as k from e group by a),
+  one as (select own.v, own.k, least(own.k, m) as m from own join (select e.a as v, min(own.k) as m from e join own on own.v = e.b group by 1) using (v)),
+  reps as (select one.v as rep from one join (select e.a as v, min(one.m) as m2 from e join one on one.v = e.b group by 1) using (v) where k = m and k <= m2),
+  taken as (select e.a as rep, e.b as member from e join reps on rep = e.a union all select rep, rep from reps)
+  select 'taken', rep, member from taken union all select 'open', a, b from e where a not in (select member from taken) and b not in (select member from taken)))
+select coalesce(r.a, id) as rep, id as member from ids left join r on r.kind = 'taken' and r.b = id""",
     "fasta_roundtrip": f"with {_REC} select id, sha256(aa) as sha256 from rec where aa is not null",
     "tsv_roundtrip": "select merged_group, split, count(*) as n from cluster_membership group by 1, 2",
     "streamed_reason_counts": f"""select strftime(date '1970-01-01' + (7 * floor(epoch(loaded_at) / 604800))::int, '%Y-%m-%d') as period_start, coalesce({_REASON}, 'kept') as reason, count(*) as n

@@ -52,6 +52,15 @@ def test_survivors_and_layers_against_brute_force(spark):
     assert survivors.best_representatives(df.limit(0), "g", "id", fill=("method",)).count() == 0
 
 
+def test_recency_as_a_dimension(spark):
+    """The better but older record survives; the newest one knows the field only where recency keeps it in the first layer."""
+    rows = [("a", "g", 0, 1.0, 1.0, 0.9, 100, None), ("b", "g", 5, 0.5, 3.0, 0.1, 300, "new"), ("c", "g", 1, 0.9, 2.0, 0.5, 50, "old"), ("d", "h", 0, 1.0, 1.0, 0.9, None, None), ("e", "h", 0, 1.0, 1.0, 0.9, 7, None)]
+    df = spark.createDataFrame(rows, "id string, g string, internal_missing_residues int, backbone_complete_fraction double, resolution double, quality_score double, last_delivered long, method string")
+    run = lambda criteria: {r["group_id"]: (r["survivor_id"], r["method"]) for r in survivors.best_representatives(df, "g", "id", criteria, fill=("method",)).collect()}
+    assert run((*survivors.CRITERIA, survivors.RECENCY)) == {"a": ("a", "new"), "d": ("e", None)}
+    assert run(survivors.CRITERIA) == {"a": ("a", "old"), "d": ("d", None)}
+
+
 @pytest.mark.parametrize("block, spread", [(5000, 12), (6, 12), (9, 0)])
 def test_skyline_of_a_hot_group_over_many_partitions(spark, block, spread):
     rnd = random.Random(22)
@@ -69,6 +78,7 @@ def test_latest_usable_values(spark):
     an = spark.createDataFrame(a, "id string, internal_missing_residues int, backbone_complete_fraction double, loaded_at timestamp")
     got = {x["id"]: x for x in survivors.known_values(rs, an).collect()}
     assert set(got) == {"1ABC_A", "1ABC_B"}
+    assert got["1ABC_A"]["last_delivered"] - got["1ABC_B"]["last_delivered"] == 86_400_000_000
     x = got["1ABC_A"]
     assert (x["resolution"], x["quality_score"], x["internal_missing_residues"], x["backbone_complete_fraction"]) == (2.0, 0.5, 2, 0.5)
     assert got["1ABC_A"]["digest"] == got["1ABC_B"]["digest"] and got["1ABC_B"]["resolution"] is None

@@ -14,12 +14,12 @@ def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def p1_survivors(spark: SparkSession, d: str) -> DataFrame:
-    """Each group's survivor with its best known values, and method and chain fields filled by layers."""
+    """Each group's survivor with its best known values, and method and chain fields filled by layers; completeness, trust and recency are dimensions."""
     r = _read(spark, d, "records")
     known = survivors.known_values(r, _read(spark, d, "record_annotations"))
     at = F.col("loaded_at")
     more = r.filter("id is not null").select(canonical_id("id").alias("id"), "method", "entity_id", "loaded_at").groupBy("id").agg(*(survivors.latest_value(F.col(c), F.col(c).isNotNull(), at).alias(c) for c in ("method", "entity_id")))
-    return survivors.best_representatives(known.join(more, "id", "left"), "digest", "id", fill=("method", "entity_id"))
+    return survivors.best_representatives(known.join(more, "id", "left"), "digest", "id", (*survivors.CRITERIA, survivors.RECENCY), fill=("method", "entity_id"))
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -144,15 +144,15 @@ e as (select a, b from h where a <> b and a in (select id from ids) and b in (se
 reach(id, label) as (select distinct a, a from s union select s.b, r.label from reach r join s on r.id = s.a where r.label < s.b), groups as (select id, min(label) as group_id from reach group by id)"""
 _TOKENS = r"len(regexp_extract_all(text, '\p{L}+|\p{N}+|[^\s\p{L}\p{N}]'))"  # words and single signs: no text and no source is near its limit, so any tokenizer gives the same rows
 _SOURCE = lambda c: f"nullif(regexp_replace(lower({c}), '[\\s_\\-./:]+', '', 'g'), '')"
-_FIRST = lambda c: f"first({c} order by layer, d0, d1, d2, d3, id) filter (where {c} is not null) as"
+_FIRST = lambda c: f"first({c} order by layer, d0, d1, d2, d3, d4, id) filter (where {c} is not null) as"
 #: layer: one more than the longest chain of members that dominate one another down to this one.
-_LAYERS = f"""more as (select {_id('id')} as id, {_best('method', 'method is not null')} as method, {_best('entity_id', 'entity_id is not null')} as entity_id from records where id is not null group by 1),
-v as (select w.*, coalesce(i, 'infinity'::double) as d0, coalesce(-f, 'infinity'::double) as d1, coalesce(r, 'infinity'::double) as d2, coalesce(-q, 'infinity'::double) as d3, more.method[2] as method, more.entity_id[2] as entity_id from w left join more using (id) where n > 1),
-dom as (select a.id as up, b.id as down from v a join v b on a.aa = b.aa and a.d0 <= b.d0 and a.d1 <= b.d1 and a.d2 <= b.d2 and a.d3 <= b.d3 and (a.d0 < b.d0 or a.d1 < b.d1 or a.d2 < b.d2 or a.d3 < b.d3)),
+_LAYERS = f"""more as (select {_id('id')} as id, {_best('method', 'method is not null')} as method, {_best('entity_id', 'entity_id is not null')} as entity_id, max(epoch_us(loaded_at)) as t from records where id is not null group by 1),
+v as (select w.*, coalesce(i, 'infinity'::double) as d0, coalesce(-f, 'infinity'::double) as d1, coalesce(r, 'infinity'::double) as d2, coalesce(-q, 'infinity'::double) as d3, coalesce(-more.t, 'infinity'::double) as d4, more.t, more.method[2] as method, more.entity_id[2] as entity_id from w left join more using (id) where n > 1),
+dom as (select a.id as up, b.id as down from v a join v b on a.aa = b.aa and a.d0 <= b.d0 and a.d1 <= b.d1 and a.d2 <= b.d2 and a.d3 <= b.d3 and a.d4 <= b.d4 and (a.d0 < b.d0 or a.d1 < b.d1 or a.d2 < b.d2 or a.d3 < b.d3 or a.d4 < b.d4)),
 lay(id, k) as (select id, 1 from v union select down, k + 1 from lay join dom on up = lay.id), depth as (select id, max(k) as layer from lay group by 1), z as (select * from v join depth using (id))"""
 SQL: dict[str, str] = {
-    "p1_survivors": f"""with recursive {_KNOWN}, {_LAYERS} select g as group_id, max(id) filter (where rn = 1) as survivor_id, max(n) as group_size, {_FIRST('i')} internal_missing_residues, {_FIRST('f')} backbone_complete_fraction,
-{_FIRST('r')} resolution, {_FIRST('q')} quality_score, {_FIRST('method')} method, {_FIRST('entity_id')} entity_id from z group by g""",
+    "p1_survivors": f"""with recursive {_KNOWN}, {_LAYERS} select g as group_id, {_FIRST('id')} survivor_id, max(n) as group_size, {_FIRST('i')} internal_missing_residues, {_FIRST('f')} backbone_complete_fraction,
+{_FIRST('r')} resolution, {_FIRST('q')} quality_score, {_FIRST('t')} last_delivered, {_FIRST('method')} method, {_FIRST('entity_id')} entity_id from z group by g""",
     "p6_found": f"select doc_id from documents where {_TOKENS} > 8192",
     "p7_found": f"""with k as (select {_SOURCE('source')} as k, {_TOKENS} as n from documents), s as (select k, sum(n) as s from k group by 1), a as (select sum(n) as w from k)
 select source from source_targets left join s on k = {_SOURCE('source_targets.source')}, a where coalesce(s, 0) * max_repeats < target_share * w""",

@@ -15,6 +15,8 @@ from ..session import Scratch, count_rows
 
 #: The policy: smaller is better in each dimension after its sign.
 CRITERIA = (("internal_missing_residues", 1), ("backbone_complete_fraction", -1), ("resolution", 1), ("quality_score", -1))
+#: The latest delivery of an id, in microseconds: later is better.
+RECENCY = ("last_delivered", -1)
 
 
 def _undominated(*keys: str):
@@ -76,7 +78,8 @@ def latest_value(value: Column, usable: Column, loaded_at: Column) -> Column:
 
 
 def known_values(records: DataFrame, annotations: DataFrame) -> DataFrame:
-    """(id, digest of aa, the four criteria): per id and field the latest usable value of all its rows.
+    """(id, digest of aa, the four criteria, last_delivered): per id and field the latest usable value of all its rows, and the
+    time of its latest row of records in microseconds.
 
     Not usable: null, NaN, resolution or quality not above 0, negative residue counts, fractions outside 0-1, and
     sequences without a letter. Ids fold their entry's case; rows without id drop out.
@@ -88,6 +91,7 @@ def known_values(records: DataFrame, annotations: DataFrame) -> DataFrame:
         latest_value(F.col("digest"), F.col("digest").isNotNull(), at).alias("digest"),
         latest_value(F.col("resolution"), positive("resolution"), at).alias("resolution"),
         latest_value(F.col("quality_score"), positive("quality_score"), at).alias("quality_score"),
+        F.max(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), at.cast("timestamp_ntz"))).alias("last_delivered"),
     )
     fraction = F.col("backbone_complete_fraction")
     a = annotations.filter("id is not null").select(canonical_id("id").alias("id"), "internal_missing_residues", "backbone_complete_fraction", "loaded_at")

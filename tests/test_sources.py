@@ -208,3 +208,14 @@ def test_late_rows_drop_out_of_closed_periods(spark, tmp_path):
     got = deliveries.run_available(deliveries.reason_counts(s, lateness="10 days"), "late", "append")
     # rows of days 2 and 3 come after the watermark has passed their period; the last one's is open
     assert got.agg(F.sum("n")).first()[0] == 7 and got.columns == ["period_start", "reason", "n"]
+
+
+def test_structure_files_are_handed_on_in_bounded_pieces():
+    import pandas as pd
+
+    files = [b"data_x\n_exptl.method 'X-RAY DIFFRACTION'\n", b"", b"broken", gzip.compress(b"data_y\n#\n"), b"\x1f\x8bcut"]
+    pdf = pd.DataFrame({"path": [f"/a/{i}abc.cif.gz" for i in range(5)], "content": files})
+    whole, pieces = list(mmcif._parse_files(iter([pdf]))), list(mmcif._parse_files(iter([pdf]), most=1))
+    assert len(whole) == 1 and len(pieces) == 4 and list(mmcif._parse_files(iter([pdf.head(0)]))) == []
+    pd.testing.assert_frame_equal(pd.concat(pieces, ignore_index=True), whole[0])
+    assert list(whole[0]["error_type"].notna()) == [False, True, True, False, True] and whole[0]["methods"][0] == ["X-RAY DIFFRACTION"]

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import canonical_id, components
 from ..functions.sequences import multi_value
-from ..operators import annotate, edges
+from ..operators import annotate, edges, quality
 from ..session import Scratch, count_rows
 from ..sources import mmcif, readers, writers
 from . import pipeline
-from .oracle import _ANN, _DELIVERED, _REC, _id
-from .queries import _accessions, _annotations, _delivered, _read, _records
+from .oracle import _ACC, _ANN, _COMPLETE_ORDER, _DELIVERED, _FITS, _HIT, _JOINED, _MEM, _PERIODS, _RANKED, _REC, _SEQUENCE_EDGES, _USABLE, _components, _id
+from .queries import _EVAL, _annotations, _delivered, _hits, _membership, _read, _records
 
 
 def _lines(df: DataFrame, path: str, *cols: Column | str) -> str:
@@ -98,6 +98,23 @@ def version_export(spark: SparkSession, d: str) -> DataFrame:
     return rows
 
 
+def built_versions(spark: SparkSession, d: str) -> DataFrame:
+    """The four versions of a release over annotated records: delivered groups as sequence clusters, strong hits in key space as structure clusters."""
+    s = Scratch(spark, "built")
+    a = s.write(_annotations(spark, d, "three_di_max_token_fraction", "backbone_complete_fraction", "internal_missing_residues", "release_date", "sifts_uniprot_ids", "native_uniprot_ids", "sifts_cath_ids"))
+    r = s.write(_records(spark, d, "pdb_id", "aa", "resolution", "length", "quality_score").join(a.select("id"), "id", "left_semi"))
+    clusters = _membership(spark, d).select(F.col("merged_group").alias("rep"), F.col("id").alias("member"))
+    hits = _hits(spark, d).filter(quality.similarity_hit()).select(F.md5("query_id").alias("rep"), F.md5("target_id").alias("member")).distinct()
+    domains = a.select(F.explode(multi_value(F.lower("sifts_cath_ids"))).alias("domain")).distinct()
+    first = _delivered(spark, d).join(a.select("id"), "id", "left_semi")
+    made = pipeline.build_versions(r, a, first, clusters, hits, r.select(F.md5("id").alias("key"), "id"), domains.withColumn("topology", F.substring(F.md5("domain"), 1, 3)), _EVAL, _EVAL)
+    rows = None
+    for name, frames in made.items():
+        part = frames["selected"].select(F.lit(name).alias("version"), "id", "split")
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
 def _files(spark: SparkSession, d: str) -> DataFrame:
     """A structure file for each record (path, content), as mmcif.files reads them: its method and resolution, a protein and a
     nucleic entity, five atoms and a ligand, accessions, dates and assemblies. Records without a sequence give a file without a data block."""
@@ -164,7 +181,7 @@ def structure_accessions(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    hits_roundtrip, clusters_roundtrip, ids_roundtrip, mapping_tables, topology_edges, fasta_shards, released_text, version_export, structure_metadata, structure_chains, structure_entries, structure_accessions,
+    hits_roundtrip, clusters_roundtrip, ids_roundtrip, mapping_tables, topology_edges, fasta_shards, released_text, version_export, built_versions, structure_metadata, structure_chains, structure_entries, structure_accessions,
 )}
 
 # as text: behind a null test on the scan, isnan is folded away by the column's statistics, which know no NaN
@@ -174,8 +191,20 @@ _JOIN = lambda c: f"array_to_string(list_sort(list_distinct({_PARTS(c)})), ';')"
 _PDB, _CHAIN = "regexp_extract(id, '^([^_]+)_', 1)", "regexp_replace(id, '^[^_]+_(MODEL_[0-9]+_)?', '')"
 _MAPPED = lambda c: f"(select {_PDB} as p, {_CHAIN} as c, array_to_string(list_sort(list(distinct v)), ';') as v from (select id, unnest({_PARTS(c)}) as v from ann) group by 1, 2)"
 _CATEGORY = "case when method like '%X-RAY%' then 'xray' when method like '%ELECTRON%' then 'em' else 'other' end"
+_ANNOTATED = _REC.replace("where rn = 1)", f"where rn = 1 and id in (select {_id('id')} from record_annotations where id is not null))")
+_TOPOLOGY = f"top as (select distinct id, substr(md5(lower(d)), 1, 3) as topology from (select id, unnest({_PARTS('sifts_cath_ids')}) as d from ann) where id in (select id from rec))"
+_STRUCTURE = f"{_SEQUENCE_EDGES} union all select q, t from hit where q in (select id from rec) and t in (select id from rec) union all select id, min(id) over (partition by topology) from top"
+
+
+def _version(name: str, edges_: str) -> str:
+    ranked = _RANKED.format(order=_COMPLETE_ORDER, table="full_", cond=f"{_USABLE} and {_FITS}", train=_USABLE)
+    return f"""select '{name}' as version, id, split from (with recursive {_ANNOTATED}, {_ANN}, {_MEM}, {_ACC}, {_HIT}, {_TOPOLOGY}, {_JOINED}, {_components('comp', edges_)},
+full_ as (select joined.*, comp.component from joined join comp using (id)), {ranked} select id, split from sel)"""
+
 
 SQL = {
+    "built_versions": f"""{_version('sequence', _SEQUENCE_EDGES)} union all {_version('structure', _STRUCTURE)} union all select 'time', id, split from (with {_ANNOTATED}, {_ANN}, {_JOINED}, {_PERIODS} select id, split from chrono)
+union all select 'v1_1', id, split from (with {_DELIVERED}, {_ANN} select id, split from del where id in (select id from ann))""",
     "hits_roundtrip": f"select query_id, target_id, {', '.join(f'{_KNOWN(c)} as {c}' for c in ('fident', 'qcov', 'tcov', 'evalue'))}, coalesce(bits, -1)::double as bits from sequence_hits where fident is not null and qcov is not null and tcov is not null",
     "clusters_roundtrip": f"with ids as (select distinct {_id('id')} as id from records) select distinct {_id('merged_group')} as src, {_id('id')} as dst from cluster_membership where {_id('merged_group')} in (select id from ids where id is not null) and {_id('id')} in (select id from ids where id is not null)",
     "ids_roundtrip": "select count(*) as n, 0::bigint as low, count(*) - 1 as high, count(*) as n_numbers, count(distinct id) as n_ids from records where id is not null",

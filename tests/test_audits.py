@@ -2,8 +2,10 @@
 
 import random
 
+import pytest
 from test_operators import edit
 
+from weftline.operators import similarity
 from weftline.plans import queries
 
 KINDS = {"valid_train": ("validation", "train"), "test_train": ("test", "train"), "valid_test": ("validation", "test")}
@@ -44,3 +46,26 @@ def test_audits_search_all_pairs_of_splits(spark, tmp_path):
     want = {(*row, i) for rows in ranked.values() for i, row in enumerate(rows[:10], 1)}
     top = {tuple(r[c] for c in ("kind", "query_id", "target_id", "fident", "rank")) for r in queries.structure_similarity_topk(spark, str(tmp_path)).collect()}
     assert top == want and {x[0] for x in top} == set(KINDS)
+
+
+def test_audits_align_on_the_jvm(spark, tmp_path):
+    """Aligned in Python, batch by batch, structure_similarity_topk did not end on 0.1 GB."""
+    release(spark, tmp_path)
+    q, t = (queries._texts(spark, str(tmp_path), x, "sequence_3di") for x in ("validation", "train"))
+    plan = similarity.aligned_texts(q, t, 0.3, 0.5)._jdf.queryExecution().toString()
+    assert "Pandas" not in plan and plan.split("== Physical Plan ==")[1].count("weftline_matches(") == 1
+
+
+@pytest.mark.parametrize("fident, cov", [(0.3, 0.8), (0.3, 0.5), (0.6, 0.5), (0.9, 0.9), (0.05, 0.2), (0.8, 0.3)])
+def test_aligned_texts_at_word_limits(spark, fident, cov):
+    """Words outside the band of possible paths are left out: no threshold, length or alphabet may change a result."""
+    rnd = random.Random(7)
+    base = ["".join(rnd.choice(letters) for _ in range(n)) for letters in ("AZ", "ACDEFGHIKLMNPQRSTVWY") for n in (1, 2, 30, 63, 64, 65, 127, 128, 129, 200, 330)]
+    changed = lambda s, share: "".join(rnd.choice("AZCD") if rnd.random() < share else c for c in s if rnd.random() > share / 3)
+    q, t = {*base, *(changed(s, 0.4) for s in base)} - {""}, {changed(s, share) for s in base for share in (0.1, 0.6)} - {""}
+    want = {(a, b): 1.0 - edit(a, b) / max(len(a), len(b)) for a in q for b in t if min(len(a), len(b)) / max(len(a), len(b)) >= cov}
+    want = {k: v for k, v in want.items() if v >= fident}
+    rows = lambda x: spark.createDataFrame([(s,) for s in x], "seq string")
+    for block in (None, (5, 7)):
+        got = {(r["qs"], r["ts"]): r["fident"] for r in similarity.aligned_texts(rows(q), rows(t), fident, cov, block).distinct().collect()}
+        assert got == want

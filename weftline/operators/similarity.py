@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from ..session import Scratch, count_rows
+from ..session import Scratch, count_rows, java_function
 
 
 def _grams(df: DataFrame, k: int) -> DataFrame:
@@ -19,110 +19,47 @@ def _grams(df: DataFrame, k: int) -> DataFrame:
     return rows.withColumn("terms", terms).select(F.monotonically_increasing_id().alias("key"), "id", "seq", F.length("seq").alias("len"), F.size("terms").alias("n"), "terms")
 
 
-def _edits(query, targets, lengths):
-    """Edit distance of one text to each of many, by columns of bits over all texts at once (Myers 1999, Hyyro 2003).
+def _aligned(queries: DataFrame, targets: DataFrame, fident: float, cov: float, block: tuple[int, int] | None, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The different texts (seq, band, key) of either side, and (qk, tk, fident) of the pairs of their keys that `aligned_texts` finds."""
+    width = -math.log(cov * 0.999)  # a little wide: rounding loses no pair at the very limit
+    side = lambda d: d.filter(F.length("seq") > 0).select("seq").distinct().select("seq", F.floor(F.log(F.length("seq").cast("double")) / width).cast("int").alias("band"), F.monotonically_increasing_id().alias("key"))
+    texts, others = scratch.write(side(queries)), scratch.write(side(targets))
+    q, t = texts.withColumn("band", F.explode(F.array(*(F.col("band") + i for i in (-1, 0, 1))))), others
+    per = lambda d, name: d.groupBy("band").agg(count_rows().alias(name))
+    counts, seen = scratch.write(per(q, "nq").join(per(t, "nt"), "band"), pairs=F.coalesce(F.sum(F.col("nq") * F.col("nt")), F.lit(0)))
+    size = min(max(math.isqrt(seen["pairs"] // 200), 256), 8192)
+    of_q, of_t = block or (size, size)
+    parts = lambda n, size: F.ceil(F.col(n) / size).cast("int").alias(n)
+    grid, seen = scratch.write(counts.select("band", parts("nq", of_q), parts("nt", of_t)), cells=F.coalesce(F.sum(F.col("nq") * F.col("nt")), F.lit(0)))
+    grid, tasks = F.broadcast(grid), max(1, min(seen["cells"], 2000))
+    key = ["band", "qp", "tp"]
+
+    def dealt(d: DataFrame, own: str, other: str, a: str, b: str, into: int, name: str) -> DataFrame:
+        # each text's own part, and a copy for each part of the other side; a fixed number of partitions: adaptive execution would put
+        # these small blocks, each long work, into one task
+        part = F.pmod(F.xxhash64("seq"), F.col(own)).cast("int").alias(a)
+        rows = d.join(grid, "band").select("key", "seq", "band", part, F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(b))
+        return rows.repartition(tasks, *key).groupBy(*key, F.pmod(F.hash("key"), F.lit(into)).alias("piece")).agg(F.collect_list(F.struct("key", "seq")).alias(name)).drop("piece")
+
+    # a block of queries comes in pieces of about 64, which bounds the pairs that one call can return
+    left, right = dealt(q, "nq", "nt", "qp", "tp", -(-of_q // 64), "qs"), dealt(t, "nt", "nq", "tp", "qp", 1, "ts")
+    java_function(queries.sparkSession, "operators/Matches.java", "weftline.Matches", "weftline_matches", "array<struct<qk: bigint, tk: bigint, fident: double>>")
+    found = F.call_function("weftline_matches", "qs", "ts", F.lit(float(fident)), F.lit(float(cov)))
+    return texts, others, left.join(right.hint("merge"), key).select(F.explode(found).alias("m")).select("m.*")
 
-    query: letter codes under 26; targets: codes, one column a text, longest first; lengths: the texts' lengths.
-    """
-    import numpy as np
 
-    m, n = len(query), targets.shape[1]
-    words = -(-m // 64)
-    at = np.zeros((words, 26), "uint64")
-    for i, c in enumerate(query):
-        at[i // 64, c] |= np.uint64(1 << (i % 64))
-    one, top, last = np.uint64(1), np.uint64(63), np.uint64((m - 1) % 64)
-    up, down = np.full((words, n), ~np.uint64(0)), np.zeros((words, n), "uint64")
-    score = np.full(n, m, "int64")
-    buffers = np.empty((8, n), "uint64")
-    open_ = np.searchsorted(-lengths, -np.arange(lengths[0] if n else 0), side="left")  # texts longer than j
-    for j, k in enumerate(open_):
-        eq, xv, xh, ph, mh, hp, hn, bit = (b[:k] for b in buffers)
-        codes = targets[j, :k]
-        for w in range(words):
-            vp, vn = up[w, :k], down[w, :k]
-            np.take(at[w], codes, out=eq, mode="clip")
-            np.bitwise_or(eq, vn, out=xv)
-            if w:
-                eq |= hn
-            np.bitwise_and(eq, vp, out=xh)
-            xh += vp
-            xh ^= vp
-            xh |= eq
-            np.bitwise_and(vp, xh, out=mh)
-            np.bitwise_or(xh, vp, out=ph)
-            np.invert(ph, out=ph)
-            ph |= vn
-            if w == words - 1:
-                for h, sign in ((ph, np.add), (mh, np.subtract)):
-                    np.right_shift(h, last, out=bit)
-                    bit &= one
-                    sign(score[:k], bit.view("int64"), out=score[:k])
-            np.right_shift(ph, top, out=bit)
-            ph <<= one
-            ph |= hp if w else one
-            hp[:] = bit
-            np.right_shift(mh, top, out=bit)
-            mh <<= one
-            if w:
-                mh |= hn
-            hn[:] = bit
-            np.bitwise_or(xv, ph, out=vp)
-            np.invert(vp, out=vp)
-            vp |= mh
-            np.bitwise_and(ph, xv, out=vn)
-    return score
-
-
-def aligned_texts(queries: DataFrame, targets: DataFrame, fident: float, cov: float, block: tuple[int, int] = (64, 8192)) -> DataFrame:
+def aligned_texts(queries: DataFrame, targets: DataFrame, fident: float, cov: float, block: tuple[int, int] | None = None) -> DataFrame:
     """(qs, ts, fident) of all pairs of texts (seq, letters A-Z) that reach both thresholds, equal texts too; each pair is aligned.
 
     Nothing but the length leaves a pair out: texts whose lengths fit the coverage lie in the same band or the next,
     bands being powers of 1 / cov. A band's queries and targets are dealt by hash to blocks of about `block` texts, and one task
-    aligns a block of queries with a block of targets.
+    aligns a block of queries with a block of targets, on the JVM (`Matches.java`). Without `block` blocks grow with the product of
+    the two sides, up to 8,192 texts, so that the copies each block takes stay few.
     """
-    import numpy as np
-    import pandas as pd
-
-    width = -math.log(cov * 0.999)  # a little wide: rounding loses no pair at the very limit
-    side = lambda d: d.filter(F.length("seq") > 0).select("seq").distinct().withColumn("band", F.floor(F.log(F.length("seq").cast("double")) / width).cast("int"))
-    spark = queries.sparkSession
-    scratch = Scratch(spark, "align")
-    q, t = scratch.write(side(queries)), scratch.write(side(targets))
-    q = q.select("seq", F.explode(F.array(*(F.col("band") + i for i in (-1, 0, 1)))).alias("band"))
-    parts = lambda d, size, name: d.groupBy("band").agg(F.ceil(count_rows() / size).cast("int").alias(name))
-    grid, seen = scratch.write(parts(q, block[0], "nq").join(parts(t, block[1], "nt"), "band"), cells=F.coalesce(F.sum(F.col("nq") * F.col("nt")), F.lit(0)))
-    grid, tasks = F.broadcast(grid), max(1, min(seen["cells"], 2000))
-    # each text's own part, and a copy for each part of the other side
-    dealt = lambda d, own, other, a, b: d.join(grid, "band").select("seq", "band", F.pmod(F.xxhash64("seq"), F.col(own)).cast("int").alias(a), F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(b))
-    key = ["band", "qp", "tp"]
-    schema = "qs string, ts string, fident double"
-
-    def align(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        texts = np.array(sorted(right["seq"], key=len, reverse=True), dtype=object)
-        if not len(left) or not len(texts):
-            return pd.DataFrame({"qs": pd.Series([], dtype=object), "ts": pd.Series([], dtype=object), "fident": pd.Series([], dtype="float64")})
-        size = np.array([len(x) for x in texts])
-        codes = np.zeros((size[0], len(texts)), "uint8")
-        for i, x in enumerate(texts):
-            codes[: size[i], i] = np.frombuffer(x.encode(), "uint8") - 65
-        qs, ts, scores = [], [], []
-        for x in left["seq"]:
-            fits = np.flatnonzero(np.minimum(size, len(x)) / np.maximum(size, len(x)) >= cov)
-            if not len(fits):
-                continue
-            a, b = fits[0], fits[-1] + 1  # sorted by length, so what fits is one run
-            f = 1.0 - _edits(np.frombuffer(x.encode(), "uint8") - 65, np.ascontiguousarray(codes[: size[a], a:b]), size[a:b]) / np.maximum(size[a:b], len(x))
-            hit = np.flatnonzero(f >= fident)
-            qs += [x] * len(hit)
-            ts += texts[a:b][hit].tolist()
-            scores += f[hit].tolist()
-        return pd.DataFrame({"qs": pd.Series(qs, dtype=object), "ts": pd.Series(ts, dtype=object), "fident": pd.Series(scores, dtype="float64")})
-
-    left, right = dealt(q, "nq", "nt", "qp", "tp"), dealt(t, "nt", "nq", "tp", "qp")
-    # a fixed number of partitions: adaptive execution would put these small blocks, each long work, into one task
-    left, right = left.repartition(tasks, *key), right.repartition(tasks, *key)
-    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(align, schema)
+    scratch = Scratch(queries.sparkSession, "align")
+    q, t, hits = _aligned(queries, targets, fident, cov, block, scratch)
+    text = lambda d, key, name: d.select(F.col("key").alias(key), F.col("seq").alias(name))
+    return hits.join(text(q, "qk", "qs"), "qk").join(text(t, "tk", "ts"), "tk").select("qs", "ts", "fident")
 
 
 def similar_sequences(queries: DataFrame, targets: DataFrame, k: int = 6, shared: float = 0.0, fident: float = 0.30, cov: float = 0.80) -> DataFrame:
@@ -139,11 +76,13 @@ def similar_sequences(queries: DataFrame, targets: DataFrame, k: int = 6, shared
     grams most sequences have are left out of the lists. Grams are compared by a 64-bit hash; the alignment decides. Sequences under k letters then have no pair.
     """
     if not shared:
-        rows = lambda d, x: d.filter(F.col("id").isNotNull() & (F.length("seq") > 0)).select(F.col("id").alias(f"{x}i"), F.col("seq").alias(f"{x}s")).distinct()
-        hits = Scratch(queries.sparkSession, "similar").write(aligned_texts(queries.filter("id is not null"), targets.filter("id is not null"), fident, cov))
-        shorter = F.least(F.length("qs"), F.length("ts"))
-        j = hits.join(rows(queries, "q"), "qs").join(rows(targets, "t"), "ts").filter("qi != ti")
-        j = j.select(F.col("qi").alias("query_id"), F.col("ti").alias("target_id"), "fident", (shorter / F.length("qs")).alias("qcov"), (shorter / F.length("ts")).alias("tcov"))
+        scratch = Scratch(queries.sparkSession, "similar")
+        q, t, hits = _aligned(queries.filter("id is not null"), targets.filter("id is not null"), fident, cov, None, scratch)
+        hits = scratch.write(hits)
+        rows = lambda d, texts, x: d.filter(F.col("id").isNotNull()).select("id", "seq").distinct().join(texts, "seq").select(F.col("key").alias(f"{x}k"), F.col("id").alias(f"{x}i"), F.length("seq").alias(f"{x}l"))
+        shorter = F.least("ql", "tl")
+        j = hits.join(rows(queries, q, "q"), "qk").join(rows(targets, t, "t"), "tk").filter("qi != ti")
+        j = j.select(F.col("qi").alias("query_id"), F.col("ti").alias("target_id"), "fident", (shorter / F.col("ql")).alias("qcov"), (shorter / F.col("tl")).alias("tcov"))
         return j.groupBy("query_id", "target_id").agg(F.max("fident").alias("fident"), F.max("qcov").alias("qcov"), F.max("tcov").alias("tcov"))
     scratch = Scratch(queries.sparkSession, "similar")
     q, t = scratch.write(_grams(queries, k)), scratch.write(_grams(targets, k))

@@ -1,6 +1,7 @@
 """The registered audits over a small release, against brute force."""
 
 import random
+import re
 
 import pytest
 from test_operators import edit
@@ -69,3 +70,11 @@ def test_aligned_texts_at_word_limits(spark, fident, cov):
     for block in (None, (5, 7)):
         got = {(r["qs"], r["ts"]): r["fident"] for r in similarity.aligned_texts(rows(q), rows(t), fident, cov, block).distinct().collect()}
         assert got == want
+
+
+def test_blocks_grow_with_the_texts(spark):
+    """In blocks of 64 queries sequence_similarity_audit copied each target 625 times here, and did not end on 1 GB."""
+    letters = "ACDEFGHIKLMNPQRSTVWY"
+    texts = spark.range(40000).selectExpr(f"translate(lpad(id, 8, '0'), '0123456789', '{letters[:10]}') as seq")
+    plan = similarity.aligned_texts(texts, texts, 0.3, 0.8)._jdf.queryExecution().toString()
+    assert 0 < max(int(x) for x in re.findall(r"(\d+)\), REPARTITION_BY_NUM", plan)) <= 256

@@ -78,3 +78,9 @@ def test_blocks_grow_with_the_texts(spark):
     texts = spark.range(40000).selectExpr(f"translate(lpad(id, 8, '0'), '0123456789', '{letters[:10]}') as seq")
     plan = similarity.aligned_texts(texts, texts, 0.3, 0.8)._jdf.queryExecution().toString()
     assert 0 < max(int(x) for x in re.findall(r"(\d+)\), REPARTITION_BY_NUM", plan)) <= 256
+
+
+def test_aligned_texts_takes_any_letter(spark):
+    rows = lambda *x: spark.createDataFrame([(s,) for s in x], "seq string")
+    got = {tuple(r) for r in similarity.aligned_texts(rows("ac*DE", "ÄCDEF"), rows("acXDE", "ÄCDEZ", "ZCDEF"), 0.5, 0.8).collect()}
+    assert got == {("ac*DE", "acXDE", 0.8), ("ÄCDEF", "ÄCDEZ", 0.8), ("ÄCDEF", "ZCDEF", 0.8)}

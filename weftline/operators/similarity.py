@@ -49,7 +49,7 @@ def _aligned(queries: DataFrame, targets: DataFrame, fident: float, cov: float,
 
 
 def aligned_texts(queries: DataFrame, targets: DataFrame, fident: float, cov: float, block: tuple[int, int] | None = None) -> DataFrame:
-    """(qs, ts, fident) of all pairs of texts (seq, letters A-Z) that reach both thresholds, equal texts too; each pair is aligned.
+    """(qs, ts, fident) of all pairs of texts (seq) that reach both thresholds, equal texts too; each pair is aligned.
 
     Nothing but the length leaves a pair out: texts whose lengths fit the coverage lie in the same band or the next,
     bands being powers of 1 / cov. A band's queries and targets are dealt by hash to blocks of about `block` texts, and one task

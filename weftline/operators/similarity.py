@@ -41,8 +41,8 @@ def _aligned(queries: DataFrame, targets: DataFrame, fident: float, cov: float,
         rows = d.join(grid, "band").select("key", "seq", "band", part, F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(b))
         return rows.repartition(tasks, *key).groupBy(*key, F.pmod(F.hash("key"), F.lit(into)).alias("piece")).agg(F.collect_list(F.struct("key", "seq")).alias(name)).drop("piece")
 
-    # a block of queries comes in pieces of about 64, which bounds the pairs that one call can return
-    left, right = dealt(q, "nq", "nt", "qp", "tp", -(-of_q // 64), "qs"), dealt(t, "nt", "nq", "tp", "qp", 1, "ts")
+    # a block of queries comes in pieces of about 128, which bounds the pairs that one call can return
+    left, right = dealt(q, "nq", "nt", "qp", "tp", -(-of_q // 128), "qs"), dealt(t, "nt", "nq", "tp", "qp", 1, "ts")
     java_function(queries.sparkSession, "operators/Matches.java", "weftline.Matches", "weftline_matches", "array<struct<qk: bigint, tk: bigint, fident: double>>", ("operators/Lanes.java", "weftline.Lanes"))
     found = F.call_function("weftline_matches", "qs", "ts", F.lit(float(fident)), F.lit(float(cov)))
     return texts, others, left.join(right.hint("merge"), key).select(F.explode(found).alias("m")).select("m.*")
